@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+Every table of the reference is a full-refresh batch table: it has no watermark, no
+stream window and no incremental model, so there is nothing to rebuild as a stream.
+"""
