@@ -31,7 +31,7 @@ PARAMS = Params(
     pay_from=date(1998, 7, 1),
 )
 
-_SCHOOL_YEAR = "(year({0}) - CASE WHEN month({0}) < 7 THEN 1 ELSE 0 END)"
+_SCHOOL_YEAR = "CAST(year({0}) - CASE WHEN month({0}) < 7 THEN 1 ELSE 0 END AS INT)"
 _MATR = "lpad(CAST({0} AS STRING), 6, '0')"
 
 

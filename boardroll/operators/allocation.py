@@ -34,14 +34,16 @@ def allocate(
         .groupBy(*line)
         .agg(F.count(F.lit(1)).alias("_n_zero"))
     )
-    share = (
-        F.when((F.col(part) == 0) & F.col("_keep"), ratio(F.col(quantity), F.col("_n_zero")))
+    # Amounts are compared as they are but divided as doubles, whose scale is not fixed.
+    whole, share = F.col(quantity).cast("double"), F.col(part).cast("double")
+    given = (
+        F.when((F.col(part) == 0) & F.col("_keep"), ratio(whole, F.col("_n_zero")))
         .when(F.col(part) == 0, F.lit(0.0))
-        .when((F.col(total) == F.col(part)) | (F.col(total) == 0), F.col(quantity))
-        .otherwise(F.col(quantity) * ratio(F.col(part), F.col(total)))
+        .when((F.col(total) == F.col(part)) | (F.col(total) == 0), whole)
+        .otherwise(whole * ratio(share, F.col(total).cast("double")))
     )
     return (
         rows.join(zero_parts, list(line), "left")
-        .withColumn(name, share.cast("double"))
+        .withColumn(name, given)
         .drop("_keep", "_n_zero")
     )
