@@ -88,7 +88,7 @@ _RULES = {
               FROM (SELECT DISTINCT id_eco, day FROM {src_visits}) AS days) AS cells""",
     "src_absences": """
         SELECT day AS date_abs, fiche, id_eco, l_returnflag || l_linestatus AS motif_abs,
-               'r' || CAST(l_linenumber AS STRING) AS rem, CAST(l_partkey % 4 AS INT) AS id_mat_grp
+               'r' || CAST(l_linenumber AS STRING) AS remarque, CAST(l_partkey % 4 AS INT) AS id_mat_grp
         FROM {lineitem} JOIN {src_visits} ON l_orderkey = k""",
     "src_subject_groups": """
         SELECT id_eco, id_mat_grp, CASE id_mat_grp WHEN 0 THEN 'FRA' ELSE 'MAT' END AS mat

@@ -51,7 +51,7 @@ GROUP = "coalesce(CASE WHEN ordre_ens = '4' THEN dist ELSE grp_rep END, '-')"
 
 ABSENCES = {
     "absence_events": f"""
-        SELECT date_abs, fiche, id_eco, motif_abs, rem AS remarque, id_mat_grp FROM src_absences
+        SELECT date_abs, fiche, id_eco, motif_abs, remarque, id_mat_grp FROM src_absences
         WHERE id_eco IN (SELECT id_eco FROM src_school_years WHERE annee >= {YEAR - PARAMS.years_of_absences})""",
     "absence_reasons": """
         SELECT DISTINCT id_eco, motif_abs, descr AS description_abs,
@@ -635,10 +635,11 @@ PAY = {
           AND CASE WHEN p.code_pmnt = '105001' THEN p.code_prov IN ('AY', 'A0') OR (p.code_prov = 'AX' AND p.nb_unit BETWEEN 0 AND 60)
                    WHEN regexp_matches(p.code_pmnt, '^10(1[0-5]|3[5-9])..$')
                         THEN p.code_prov NOT IN ('A5', 'A6', 'AJ', 'AK', 'AL', 'AS', 'AT', 'AU', 'AV', 'AW') ELSE false END""",
+    # Through a wide decimal: a double such as 64.725 is a little less in binary.
     "pay_hours": """
         SELECT * EXCLUDE (hours, missing, worked, deferred),
-               CAST(CASE WHEN missing = 0 THEN 0 WHEN missing <> 100 AND date_deb_pmnt <> date_fin_pmnt AND deferred <> 0
-                         THEN worked * hours / (worked - missing) ELSE hours END AS DECIMAL(7, 2)) AS nb_hre_remun
+               CAST(CAST(CASE WHEN missing = 0 THEN 0 WHEN missing <> 100 AND date_deb_pmnt <> date_fin_pmnt AND deferred <> 0
+                         THEN worked * hours / (worked - missing) ELSE hours END AS DECIMAL(18, 8)) AS DECIMAL(7, 2)) AS nb_hre_remun
         FROM pay_lines""",
     "pay_parts": """
         SELECT h.*, s.no_cmpt, s.lieu_trav_cpt_budg, s.mnt_dist, h.code_pmnt IN (SELECT code_pmnt FROM src_kept_codes) AS kept

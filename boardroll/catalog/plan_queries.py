@@ -1,8 +1,8 @@
-"""Domain plans run on the derived inputs; one entry per table or report."""
+"""Domain tables and reports run on the derived inputs; one entry per table."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,20 +10,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardroll.catalog.derived import PARAMS, Derived
-from boardroll.plans import (
-    absence_reports,
-    absences,
-    access,
-    addresses,
-    adults,
-    employment,
-    pay,
-    qualifications,
-    retirement,
-    staff_list,
-    students,
-)
-from boardroll.sources import code_labels
+from boardroll.plans import staff_list, students
+from boardroll.plans.board import Board
+from boardroll.sources import Staging, code_labels
+
+# Which derived input stands for which source, contract or seed of the jobs.
+INPUTS = {
+    "i_gpm_e_abs": "src_absences",
+    "i_gpm_t_eco": "src_school_years",
+    "i_gpm_t_motif_abs": "src_reasons",
+    "i_gpm_t_mat_grp": "src_subject_groups",
+    "i_gpm_e_dan": "src_pupils",
+    "i_gpm_t_cal": "src_calendar",
+    "stg_fact_fiche_etapes": "src_terms",
+    "i_gpm_t_org_annee": "src_year_spans",
+    "dim_mapper_schools": "src_schools",
+    "stg_descr_mat": "src_subject_names",
+    "i_gpm_e_ele": "src_people",
+    "i_e_ri_mentions": "src_mentions",
+    "i_t_prog": "src_programmes",
+    "spine": "src_spine",
+    "stg_type_mesure": "src_measures",
+    "i_wl_descr": "src_measure_names",
+    "i_e_adr": "src_addresses",
+    "stg_populations_adultes": "src_populations",
+    "i_e_ele_adultes": "src_adults",
+    "i_e_adr_adultes": "src_adult_addresses",
+    "i_t_wl_descr_adultes": "src_codes",
+    "i_e_freq_adultes": "src_enrolments",
+    "i_t_prog_adultes": "src_adult_programmes",
+    "i_e_o_orghor_adultes": "src_timetables",
+    "i_t_ecocen_adultes": "src_centres",
+    "i_pai_tab_corp_empl": "src_job_classes",
+    "i_pai_hemp": "src_jobs",
+    "i_hcha_pai_dos_empl": "src_job_log",
+    "dim_employment_status_yearly": "src_statuses",
+    "i_pai_dos_empl": "src_current_jobs",
+    "dim_employees": "src_employees",
+    "dim_engagement_status_yearly": "src_engagements",
+    "dim_mapper_job_group": "src_job_groups",
+    "i_pai_dos": "src_files",
+    "dim_mapper_workplace": "src_workplaces",
+    "etat_empl": "src_status_seed",
+    "i_pai_qualif": "src_qualifications",
+    "statut_enseignant": "src_teacher_statuses",
+    "ens_qualification": "src_qualification_names",
+    "secteur": "src_sectors",
+    "i_pai_tab_corp_empl_date": "src_dated_classes",
+    "i_pai_tab_etat_empl": "src_special_statuses",
+    "i_pai_hchq_pmnt_dist_cmpt": "src_splits",
+    "i_pai_tab_cal_per": "src_periods",
+    "i_pai_hchq": "src_cheques",
+    "i_pai_hchq_pmnt": "src_payments",
+    "i_pai_tab_pmnt": "src_payment_codes",
+    "i_pai_tab_mot_abs": "src_absence_reasons",
+    "pmnt_zero_keep": "src_kept_codes",
+    "i_fin_nomen_unit_adm": "src_units",
+    "adjust_nomen_unit_adm": "src_unit_remap",
+    "i_pai_tab_stat_eng": "src_engagement_names",
+    "i_identite": "src_accounts",
+    "i_pai_tab_lieu_trav": "src_places",
+    "emp_actif_report_emp_actif": "src_staff",
+}
 
 STAFF_CHOICES = {
     "workplace_name": ["NATION_1", "NATION_2", "NATION_7", "NATION_12"],
@@ -37,385 +85,20 @@ STAFF_SEARCH = "R#0000"
 ADAPTED = "ordre_ens = '3' AND grp_rep NOT IN ('G1') AND classe IN ('A', 'B', 'C', 'D')"
 
 
-class Board:
-    """The domain tables, each built from the ones it needs."""
+class DerivedInputs(Mapping[str, DataFrame]):
+    """The derived inputs under the names the jobs ask for."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.src = Derived(spark, folder)
-
-    # Absences.
-    @cached_property
-    def absence_events(self) -> DataFrame:
-        events = self.src["src_absences"].withColumnRenamed("rem", "remarque")
-        return absences.absence_events(events, self.src["src_school_years"], PARAMS)
-
-    @cached_property
-    def absence_reasons(self) -> DataFrame:
-        return absences.absence_reasons(self.src["src_reasons"])
-
-    @cached_property
-    def absences_daily(self) -> DataFrame:
-        return absences.absences_daily(
-            self.absence_events,
-            self.src["src_subject_groups"],
-            self.absence_reasons,
-            self.src["src_pupils"],
-            self.src["src_calendar"],
-            self.src["src_terms"],
-            PARAMS,
-        )
-
-    @cached_property
-    def absence_sequences(self) -> DataFrame:
-        return absences.absence_sequences(self.absences_daily, self.src["src_calendar"], PARAMS)
-
-    @cached_property
-    def daily_students(self) -> DataFrame:
-        return absences.daily_students(
-            self.src["src_pupils"],
-            self.src["src_school_years"],
-            self.src["src_year_spans"],
-            self.src["src_terms"],
-            PARAMS,
-        )
-
-    @cached_property
-    def daily_grid(self) -> DataFrame:
-        return absences.daily_grid(
-            self.src["src_calendar"], self.absences_daily, self.daily_students, PARAMS
-        )
-
-    @cached_property
-    def padding(self) -> DataFrame:
-        return absences.padding(self.daily_grid, self.absences_daily)
-
-    @cached_property
-    def daily_metrics(self) -> DataFrame:
-        return absences.daily_metrics(
-            self.daily_grid, self.absences_daily, self.src["src_schools"], PARAMS
-        )
-
-    @cached_property
-    def daily_rate_report(self) -> DataFrame:
-        return absence_reports.daily_rate_report(self.daily_metrics)
-
-    @cached_property
-    def term_rate_report(self) -> DataFrame:
-        return absence_reports.term_rate_report(self.daily_metrics)
-
-    @cached_property
-    def kind_distribution_report(self) -> DataFrame:
-        return absence_reports.kind_distribution_report(
-            self.absences_daily, self.daily_grid, self.src["src_schools"], PARAMS
-        )
-
-    @cached_property
-    def subject_distribution_report(self) -> DataFrame:
-        return absence_reports.subject_distribution_report(
-            self.absences_daily,
-            self.daily_grid,
-            self.src["src_schools"],
-            self.src["src_subject_names"],
-            PARAMS,
-        )
-
-    @cached_property
-    def absence_filters_report(self) -> DataFrame:
-        return absence_reports.absence_filters_report(self.daily_metrics, self.src["src_schools"])
-
-    @cached_property
-    def long_absence_report(self) -> DataFrame:
-        return absence_reports.long_absence_report(
-            self.absence_sequences,
-            self.src["src_people"],
-            self.src["src_pupils"],
-            self.src["src_schools"],
-            PARAMS,
-        )
-
-    # Pupils.
-    @cached_property
-    def diplomas(self) -> DataFrame:
-        return students.diplomas(self.src["src_mentions"], self.src["src_programmes"])
-
-    @cached_property
-    def yearly_students(self) -> DataFrame:
-        return students.yearly_students(
-            self.src["src_spine"],
-            self.src["src_pupils"],
-            self.src["src_schools"],
-            self.src["src_measures"],
-            self.src["src_measure_names"],
-            PARAMS,
-        )
-
-    @cached_property
-    def diploma_perimeter(self) -> DataFrame:
-        return students.diploma_perimeter(self.yearly_students, PARAMS)
-
-    @cached_property
-    def semi_skilled_perimeter(self) -> DataFrame:
-        return students.semi_skilled_perimeter(self.yearly_students, PARAMS)
-
-    @cached_property
-    def training_perimeter(self) -> DataFrame:
-        return students.training_perimeter(self.yearly_students, PARAMS)
-
-    @cached_property
-    def population_all(self) -> DataFrame:
-        return students.population(
-            self.src["src_pupils"], self.src["src_school_years"], self.src["src_people"]
-        )
-
-    @cached_property
-    def population_adapted(self) -> DataFrame:
-        return students.population(
-            self.src["src_pupils"], self.src["src_school_years"], self.src["src_people"], F.expr(ADAPTED)
-        )
-
-    @cached_property
-    def yearly_addresses(self) -> DataFrame:
-        return addresses.yearly_addresses(self.src["src_addresses"], PARAMS)
-
-    # Adult education.
-    @cached_property
-    def adult_students(self) -> DataFrame:
-        return adults.adult_students(
-            self.src["src_populations"],
-            self.src["src_adults"],
-            self.src["src_adult_addresses"],
-            self.src["src_codes"],
-        )
-
-    @cached_property
-    def adult_enrolments(self) -> DataFrame:
-        return adults.adult_enrolments(
-            self.src["src_populations"],
-            self.adult_students,
-            self.src["src_enrolments"],
-            self.src["src_adult_programmes"],
-            self.src["src_codes"],
-            self.src["src_timetables"],
-            self.src["src_centres"],
-            PARAMS,
-        )
-
-    @cached_property
-    def adult_headcount_report(self) -> DataFrame:
-        return adults.adult_headcount_report(self.adult_enrolments, self.adult_students)
-
-    @cached_property
-    def general_success_rates(self) -> DataFrame:
-        return adults.general_success_rates(self.adult_headcount_report, PARAMS)
-
-    @cached_property
-    def vocational_success_rates(self) -> DataFrame:
-        return adults.vocational_success_rates(self.adult_headcount_report, PARAMS)
-
-    @cached_property
-    def general_success_list(self) -> DataFrame:
-        return adults.general_success_list(self.adult_headcount_report, PARAMS)
-
-    @cached_property
-    def vocational_success_list(self) -> DataFrame:
-        return adults.vocational_success_list(self.adult_headcount_report, PARAMS)
-
-    @cached_property
-    def success_reason_labels(self) -> DataFrame:
-        return code_labels(
-            self.adult_headcount_report, "desc_raison_depart", "raison_depart", ["22", "12", "04", "2"]
-        )
+        self._derived = Derived(spark, folder)
 
-    # Human resources.
-    @cached_property
-    def job_class_names(self) -> DataFrame:
-        return employment.job_class_names(self.src["src_job_classes"])
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._derived[INPUTS[name]]
 
-    @cached_property
-    def activity_history(self) -> DataFrame:
-        return employment.activity_history(self.src["src_jobs"], PARAMS)
+    def __iter__(self):
+        return iter(INPUTS)
 
-    @cached_property
-    def main_job_history(self) -> DataFrame:
-        return employment.main_job_history(self.src["src_job_log"], PARAMS)
-
-    @cached_property
-    def main_job_yearly(self) -> DataFrame:
-        return employment.main_job_yearly(self.main_job_history, PARAMS)
-
-    @cached_property
-    def activity_yearly(self) -> DataFrame:
-        return employment.activity_yearly(
-            self.activity_history,
-            self.src["src_statuses"],
-            self.main_job_yearly,
-            self.src["src_current_jobs"],
-            PARAMS,
-        )
-
-    @cached_property
-    def activity_current(self) -> DataFrame:
-        return employment.activity_current(self.activity_yearly, self.src["src_employees"], PARAMS)
-
-    @cached_property
-    def seniority(self) -> DataFrame:
-        return employment.seniority(
-            self.activity_history,
-            self.src["src_statuses"],
-            self.src["src_engagements"],
-            self.main_job_history,
-            self.src["src_job_groups"],
-            PARAMS,
-        )
-
-    @cached_property
-    def retirements(self) -> DataFrame:
-        return retirement.retirements(
-            self.activity_history, self.src["src_statuses"], self.src["src_employees"]
-        )
-
-    @cached_property
-    def retirement_curve(self) -> DataFrame:
-        return retirement.survival_curve(self.src["src_files"], self.retirements)
-
-    @cached_property
-    def retirement_forecasts(self) -> DataFrame:
-        return retirement.retirement_forecasts(
-            self.activity_current,
-            self.retirements,
-            self.src["src_files"],
-            self.src["src_job_groups"],
-            self.retirement_curve,
-            PARAMS,
-        )
-
-    @cached_property
-    def active_age_report(self) -> DataFrame:
-        return retirement.active_age_report(
-            self.activity_current,
-            self.retirements,
-            self.src["src_employees"],
-            self.src["src_job_groups"],
-            PARAMS,
-        )
-
-    @cached_property
-    def retirement_age_report(self) -> DataFrame:
-        return retirement.retirement_age_report(
-            self.retirements, self.src["src_job_groups"], self.src["src_files"], PARAMS
-        )
-
-    @cached_property
-    def observed_and_forecast_report(self) -> DataFrame:
-        return retirement.observed_and_forecast_report(
-            self.retirement_forecasts, self.retirements, self.src["src_job_groups"], PARAMS
-        )
-
-    @cached_property
-    def survival_curve_report(self) -> DataFrame:
-        return retirement.survival_curve_report(self.retirement_curve)
-
-    @cached_property
-    def retirement_filters_report(self) -> DataFrame:
-        return retirement.retirement_filters_report(
-            self.active_age_report,
-            self.retirement_age_report,
-            self.src["src_statuses"],
-            self.src["src_engagements"],
-            self.src["src_workplaces"],
-        )
-
-    @cached_property
-    def teacher_qualifications(self) -> DataFrame:
-        return qualifications.teacher_qualifications(
-            self.activity_current, self.src["src_status_seed"], self.src["src_qualifications"], PARAMS
-        )
-
-    @cached_property
-    def qualification_report(self) -> DataFrame:
-        return qualifications.qualification_report(
-            self.teacher_qualifications,
-            self.src["src_employees"],
-            self.src["src_workplaces"],
-            self.src["src_status_seed"],
-            self.job_class_names,
-            self.src["src_teacher_statuses"],
-            self.src["src_qualification_names"],
-            PARAMS,
-            self.src["src_sectors"],
-        )
-
-    # Pay.
-    @cached_property
-    def employment_perimeter(self) -> DataFrame:
-        return pay.employment_perimeter(
-            self.src["src_jobs"],
-            self.src["src_dated_classes"],
-            self.src["src_special_statuses"],
-            PARAMS,
-        )
-
-    @cached_property
-    def account_splits(self) -> DataFrame:
-        return pay.account_splits(self.src["src_splits"], PARAMS)
-
-    @cached_property
-    def paid_hours_by_account(self) -> DataFrame:
-        return pay.paid_hours_by_account(
-            self.src["src_periods"],
-            self.src["src_cheques"],
-            self.src["src_payments"],
-            self.employment_perimeter,
-            self.src["src_payment_codes"],
-            self.src["src_absence_reasons"],
-            self.account_splits,
-            self.src["src_kept_codes"],
-            PARAMS,
-        )
-
-    @cached_property
-    def admin_unit_names(self) -> DataFrame:
-        return pay.admin_unit_names(self.src["src_units"], self.src["src_unit_remap"])
-
-    @cached_property
-    def full_time_report(self) -> DataFrame:
-        return pay.full_time_report(
-            self.paid_hours_by_account,
-            self.admin_unit_names,
-            self.src["src_job_groups"],
-            self.src["src_job_classes"],
-            self.src["src_engagement_names"],
-        )
-
-    # Access and the staff list.
-    @cached_property
-    def manager_schools(self) -> DataFrame:
-        return access.manager_schools(self.src["src_accounts"])
-
-    @cached_property
-    def workplaces(self) -> DataFrame:
-        return access.workplaces(self.src["src_places"])
-
-    @cached_property
-    def staff_detail(self) -> DataFrame:
-        return staff_list.staff_detail(self.src["src_staff"], STAFF_CHOICES, STAFF_SEARCH)
-
-    @cached_property
-    def staff_count(self) -> DataFrame:
-        return staff_list.staff_count(self.src["src_staff"], STAFF_CHOICES)
-
-    @cached_property
-    def staff_slicers(self) -> DataFrame:
-        lists = [
-            staff_list.slicer_values(self.src["src_staff"], c).select(
-                F.lit(c).alias("slicer"), F.col(c).alias("value")
-            )
-            for c in staff_list.SLICERS
-        ]
-        all_lists = lists[0]
-        for values in lists[1:]:
-            all_lists = all_lists.unionByName(values)
-        return all_lists
+    def __len__(self) -> int:
+        return len(INPUTS)
 
 
 def comparable(df: DataFrame, places: int = 6) -> DataFrame:
@@ -431,13 +114,52 @@ def comparable(df: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-PLANS = [
-    name for name, member in vars(Board).items() if isinstance(member, cached_property)
-]
+def _population(board: Board, predicate: str | None) -> DataFrame:
+    inputs = board.inputs
+    return students.population(
+        inputs["i_gpm_e_dan"],
+        inputs["i_gpm_t_eco"],
+        inputs["i_gpm_e_ele"],
+        F.expr(predicate) if predicate else None,
+    )
+
+
+def _staff_slicers(report: DataFrame) -> DataFrame:
+    lists = [
+        staff_list.slicer_values(report, c).select(F.lit(c).alias("slicer"), F.col(c).alias("value"))
+        for c in staff_list.SLICERS
+    ]
+    all_lists = lists[0]
+    for values in lists[1:]:
+        all_lists = all_lists.unionByName(values)
+    return all_lists
+
+
+STAFF = "emp_actif_report_emp_actif"
+
+# Jobs that take a site's choice beside their inputs.
+CHOSEN: dict[str, Callable[[Board], DataFrame]] = {
+    "population_all": lambda b: _population(b, None),
+    "population_adapted": lambda b: _population(b, ADAPTED),
+    "success_reason_labels": lambda b: code_labels(
+        b.adult_headcount_report, "desc_raison_depart", "raison_depart", ["22", "12", "04", "2"]
+    ),
+    "staff_detail": lambda b: staff_list.staff_detail(b.inputs[STAFF], STAFF_CHOICES, STAFF_SEARCH),
+    "staff_count": lambda b: staff_list.staff_count(b.inputs[STAFF], STAFF_CHOICES),
+    "staff_slicers": lambda b: _staff_slicers(b.inputs[STAFF]),
+}
+
+TABLES = [name for name, member in vars(Board).items() if isinstance(member, cached_property)]
+PLANS = [*TABLES, *CHOSEN]
 
 
 def plan_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: comparable(getattr(Board(spark, folder), name))
+        def query(spark: SparkSession, folder: str) -> DataFrame:
+            board = Board(DerivedInputs(spark, folder), PARAMS, Staging(spark).save)
+            table = CHOSEN[name](board) if name in CHOSEN else getattr(board, name)
+            return comparable(table)
+
+        return query
 
     return {name: run(name) for name in PLANS}

@@ -6,6 +6,7 @@ the window as a *seed row* that sorts before the chunk's own rows. The rows are
 once, by (key, chunk), and no join back is needed.
 
 ``chunk`` must not decrease along the order, for instance the month of the ordering date.
+The input is read twice (rows and seeds): save it first if it is costly to compute.
 ``order`` must not tie, or the result is as undefined as that of a plain window.
 """
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from boardroll.functions import concat_blank, school_year, school_year_start, weekdays_between
@@ -14,9 +14,7 @@ from boardroll.operators import (
     latest,
     merge_intervals,
     overlap_join,
-    previous_value,
     resolve_flag,
-    running_sum,
 )
 from boardroll.params import Params
 
@@ -118,6 +116,7 @@ def activity_yearly(
         known=F.col("logged"),
         preferred=F.col("current"),
         name="is_main_job",
+        small_groups=True,
     )
     return flagged.select(
         *job, "corp_empl", "etat_empl", "lieu_trav", "stat_eng", "is_main_job"
@@ -135,6 +134,10 @@ def activity_current(yearly: DataFrame, employees: DataFrame, params: Params) ->
     )
 
 
+def _running(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def seniority(
     history: DataFrame,
     statuses: DataFrame,
@@ -173,27 +176,25 @@ def seniority(
         F.col("date_eff"), F.col("date_fin"), F.col("valid_from"), F.col("valid_until")
     )
     held = met.select("matr", "job_group_category", starts.alias("start"), ends.alias("end"))
-    person, by_day = ["matr", "job_group_category"], ["start", "end"]
-    year = school_year("start", pivot)
-    linked = previous_value(held, person, by_day, F.col("end"), year, "before")
-    follows = weekdays_between("before", "start") <= MAX_GAP_WEEKDAYS
-    stretches = running_sum(
-        linked, person, by_day, F.when(follows, 0).otherwise(1), year, "stretch"
-    )
-    first, last = school_year_start("school_year", pivot), F.date_sub(
-        school_year_start(F.col("school_year") + 1, pivot), 1
-    )
+    # A person's intervals were merged above, so the calendar bounds these windows; they
+    # share one partitioning, and with it one shuffle.
+    person = Window.partitionBy("matr", "job_group_category").orderBy("start", "end")
+    follows = weekdays_between(F.lag("end").over(person), "start") <= MAX_GAP_WEEKDAYS
+    stretches = held.withColumn("breaks", F.when(follows, 0).otherwise(1)).withColumn(
+        "stretch", F.sum("breaks").over(_running(person))
+    )
+    first = school_year_start("school_year", pivot)
+    last = F.date_sub(school_year_start(F.col("school_year") + 1, pivot), 1)
     starts, ends = clip_interval(F.col("start"), F.col("end"), first, last)
     boxed = expand_years(stretches, "start", "end", pivot).select(
-        *person, "stretch", "school_year", starts.alias("start"), ends.alias("end")
+        "matr", "job_group_category", "stretch", "school_year", starts.alias("start"), ends.alias("end")
     )
+    stretch = Window.partitionBy("matr", "job_group_category", "stretch").orderBy("start", "end")
     days = F.datediff("end", "start")
-    return running_sum(
-        boxed, [*person, "stretch"], by_day, days, F.col("school_year"), "running_experience"
-    ).select(
+    return boxed.select(
         "school_year",
         "matr",
         "job_group_category",
-        "running_experience",
+        F.sum(days).over(_running(stretch)).alias("running_experience"),
         F.col("end").alias("valid_until"),
     )

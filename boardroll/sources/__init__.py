@@ -3,6 +3,7 @@
 from boardroll.sources.readers import jdbc_tables, parquet_tables, saved_tables
 from boardroll.sources.registry import CONTRACTS, SEEDS, SOURCES, Source, Sources, project
 from boardroll.sources.seeds import code_labels, flag_codes, read_seed
+from boardroll.sources.staging import Staging, shared_folder
 from boardroll.sources.sinks import last_runs, layout_of, stamp, write_table
 
 __all__ = [
@@ -11,6 +12,7 @@ __all__ = [
     "SOURCES",
     "Source",
     "Sources",
+    "Staging",
     "code_labels",
     "flag_codes",
     "jdbc_tables",
@@ -20,6 +22,7 @@ __all__ = [
     "project",
     "read_seed",
     "saved_tables",
+    "shared_folder",
     "stamp",
     "write_table",
 ]
