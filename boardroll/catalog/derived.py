@@ -10,6 +10,7 @@ tables, written in the SQL both engines share, so the inputs grow with the table
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
 from string import Formatter
 
@@ -384,11 +385,17 @@ def duckdb_sql(name: str) -> str:
     return _EACH.sub(r"unnest([\1])", text)
 
 
+# Inputs that many others are derived from; they are written once per run.
+SHARED = ("src_visits", "src_lines")
+
+
 class Derived:
     """The derived inputs as DataFrames, built when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark, self._folder = spark, folder
+    def __init__(
+        self, spark: SparkSession, folder: str, save: Callable[[DataFrame, str], DataFrame]
+    ) -> None:
+        self._spark, self._folder, self._save = spark, folder, save
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -398,5 +405,7 @@ class Derived:
             else:
                 text = _EACH.sub(r"explode(array(\1))", RULES[name])
                 frame = self._spark.sql(text, **{n: self[n] for n in dict.fromkeys(_needs(text))})
+                if name in SHARED:
+                    frame = self._save(frame, name)
             self._frames[name] = frame
         return self._frames[name]

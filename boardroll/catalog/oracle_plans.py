@@ -10,8 +10,9 @@ from __future__ import annotations
 import re
 
 from boardroll.catalog.derived import PARAMS, RULES, duckdb_sql
-from boardroll.catalog.plan_queries import STAFF_CHOICES, STAFF_SEARCH
+from boardroll.catalog.plan_queries import CHECKED, STAFF_CHOICES, STAFF_SEARCH
 from boardroll.functions import NULL_MARKER
+from boardroll.plans.checks import CHECKS
 
 AS_OF = f"DATE '{PARAMS.as_of}'"
 YEAR = PARAMS.current_year
@@ -700,7 +701,29 @@ ACCESS = {
     ),
 }
 
+
+
+def _checks(name: str) -> str:
+    """Failures of a table's checks, one query each."""
+    checks = CHECKS[name]
+    parts = [(f"not_null:{c}", f"SELECT 1 FROM {name} WHERE {c} IS NULL") for c in checks.not_null]
+    parts += [
+        (f"accepted_range:{c}", f"SELECT 1 FROM {name} WHERE {c} < {low} OR {c} > {high}")
+        for c, (low, high) in checks.ranges.items()
+    ]
+    keys = ([("key", checks.key)] if checks.key else []) + [(c, (c,)) for c in checks.unique]
+    parts += [
+        (f"unique:{label}", f"SELECT 1 FROM {name} GROUP BY {', '.join(key)} HAVING count(*) > 1")
+        for label, key in keys
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS check_name, count(*) AS n_failures FROM ({text}) AS failing"
+        for label, text in parts
+    )
+
+
 TABLES_SQL = {**ABSENCES, **STUDENTS, **ADULTS, **PEOPLE, **PAY, **ACCESS}
+TABLES_SQL |= {f"checks_of_{name}": _checks(name) for name in CHECKED}
 
 
 def compose(name: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from boardroll.catalog.derived import PARAMS, Derived
 from boardroll.plans import staff_list, students
 from boardroll.plans.board import Board
+from boardroll.plans.checks import check_table
 from boardroll.sources import Staging, code_labels
 
 # Which derived input stands for which source, contract or seed of the jobs.
@@ -88,8 +89,8 @@ ADAPTED = "ordre_ens = '3' AND grp_rep NOT IN ('G1') AND classe IN ('A', 'B', 'C
 class DerivedInputs(Mapping[str, DataFrame]):
     """The derived inputs under the names the jobs ask for."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._derived = Derived(spark, folder)
+    def __init__(self, spark: SparkSession, folder: str, staging: Staging) -> None:
+        self._derived = Derived(spark, folder, staging.save)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._derived[INPUTS[name]]
@@ -149,6 +150,26 @@ CHOSEN: dict[str, Callable[[Board], DataFrame]] = {
     "staff_slicers": lambda b: _staff_slicers(b.inputs[STAFF]),
 }
 
+# Tables whose declared checks are registered as queries of their own.
+CHECKED = (
+    "adult_students",
+    "main_job_yearly",
+    "activity_yearly",
+    "retirements",
+    "retirement_curve",
+    "teacher_qualifications",
+    "account_splits",
+    "manager_schools",
+    "workplaces",
+)
+
+
+def _checked(name: str) -> Callable[[Board], DataFrame]:
+    return lambda board: check_table(name, board.shared(name))
+
+
+CHOSEN |= {f"checks_of_{name}": _checked(name) for name in CHECKED}
+
 TABLES = [name for name, member in vars(Board).items() if isinstance(member, cached_property)]
 PLANS = [*TABLES, *CHOSEN]
 
@@ -156,7 +177,8 @@ PLANS = [*TABLES, *CHOSEN]
 def plan_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            board = Board(DerivedInputs(spark, folder), PARAMS, Staging(spark).save)
+            staging = Staging(spark)
+            board = Board(DerivedInputs(spark, folder, staging), PARAMS, staging.save)
             table = CHOSEN[name](board) if name in CHOSEN else getattr(board, name)
             return comparable(table)
 

@@ -295,10 +295,13 @@ def daily_grid(
 
 
 def _with_kinds(grid: DataFrame, daily: DataFrame) -> DataFrame:
-    """Repeat the grid for each kind of absence that was observed at all."""
-    observed = daily.select("event_kind").distinct()
-    kinds = F.explode(F.array(*[F.lit(kind) for kind in KINDS]))
-    return grid.withColumn("event_kind", kinds).join(observed, "event_kind", "left_semi")
+    """Repeat the grid for each kind of absence that was observed at all.
+
+    The kinds come as one small array (there are two), not as a join on a key that would
+    have only two values.
+    """
+    observed = daily.filter(F.col("event_kind").isin(*KINDS)).agg(F.collect_set("event_kind"))
+    return grid.withColumn("event_kind", F.explode(observed.scalar()))
 
 
 def padding(grid: DataFrame, daily: DataFrame) -> DataFrame:

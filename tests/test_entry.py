@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from boardroll.catalog.plan_queries import TABLES
+from boardroll.plans.checks import CHECKS
+from boardroll.sources import SEEDS
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # The ends of the chains run everything before them.
@@ -14,6 +17,7 @@ CHAIN_ENDS = [
     "absence_sequences", "padding", "daily_rate_report", "term_rate_report", "kind_distribution_report", "subject_distribution_report",
     "absence_filters_report", "yearly_students", "yearly_addresses", "general_success_rates", "vocational_success_list", "seniority",
     "retirement_forecasts", "retirement_filters_report", "qualification_report", "full_time_report", "manager_schools", "staff_slicers",
+    "checks_of_retirement_curve", "checks_of_workplaces",
 ]
 OPERATORS = [name for name in QUERIES if name in entry.OPERATORS]
 
@@ -41,6 +45,10 @@ def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLES.keys()
 
 
+def test_declared_checks_name_real_tables():
+    assert set(CHECKS) <= {*TABLES, *SEEDS}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
