@@ -65,18 +65,24 @@ def daily_rate_report(metrics: DataFrame) -> DataFrame:
         return ratio(F.sum("weighted").over(window), F.sum("n_students_daily").over(window))
 
     school = ("annee", "school_friendly_name", "etape_friendly", "event_kind")
-    return cube.select(
+    # The text key is added after the windows, so that it is not shuffled with the rows.
+    means = cube.withColumns(
+        {
+            "absence_rate_css": mean_over("annee", "date_evenement", "etape_friendly", "event_kind"),
+            "avg_absence_rate_school": mean_over(*school),
+            "avg_absence_rate_jour": mean_over(*school, "groupe", "jour_semaine"),
+        }
+    )
+    return means.select(
         filter_key(),
         "jour_semaine",
         "date_evenement",
         "n_events",
         ratio("weighted", "n_students_daily").alias("absence_rate"),
         "n_students_daily",
-        mean_over("annee", "date_evenement", "etape_friendly", "event_kind").alias(
-            "absence_rate_css"
-        ),
-        mean_over(*school).alias("avg_absence_rate_school"),
-        mean_over(*school, "groupe", "jour_semaine").alias("avg_absence_rate_jour"),
+        "absence_rate_css",
+        "avg_absence_rate_school",
+        "avg_absence_rate_jour",
     )
 
 
