@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardroll.llm import bpe
+from boardroll.llm import bpe, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +21,14 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), codec)
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint, and smallest id reachable by links of three or fewer bits."""
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES: dict[str, str] = {}
