@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardroll.llm import bpe, simhash
+from boardroll.llm import bpe, exact_dedup, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), codec)
 
 
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of identical texts; the largest id of each stays."""
+    return exact_dedup.exact_duplicates(_table(spark, folder, "documents"), digests=True)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint, and smallest id reachable by links of three or fewer bits."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -28,7 +33,14 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op5_exact_dedup": op5_exact_dedup,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}
