@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from boardroll.llm import bpe, exact_dedup, simhash
+from boardroll.llm import bpe, exact_dedup, license_scan, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"), digests=True)
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases, tags and expressions in every text."""
+    return license_scan.scan_licences(_table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint, and smallest id reachable by links of three or fewer bits."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -34,6 +39,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_license_scan": op7_license_scan,
     "op10_simhash": op10_simhash,
 }
 
