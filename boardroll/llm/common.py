@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,8 +87,10 @@ def remainder(column: Column, modulus: int) -> Column:
 
 def label_sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int
-) -> DataFrame:
-    """Texts of at most ``per_class`` labelled documents of each class: doc_id, text, label.
+) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of at most ``per_class`` labelled documents of each class, and all classes' sizes.
+
+    The texts have the columns doc_id, label and text.
 
     Only ids that ``docs`` holds and ``usable`` (a condition on ``doc_id``) admits are
     drawn, in the order of a hash, so the sample does not depend on the layout. A
@@ -100,19 +103,32 @@ def label_sample(
         .groupBy("doc_id")
         .agg(F.max(F.col(label).cast("int")).alias("label"))
     )
-    held = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
+    held = stage(marked.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    sizes = {r["label"]: r["count"] for r in held.where("label IN (0, 1)").groupBy("label").count().collect()}
     order = F.xxhash64("doc_id")
     drawn = None
     for value in (0, 1):
         part = held.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
     drawn = stage(drawn, "label-sample")
-    return (
+    texts = (
         docs.select("doc_id", text_of(docs).alias("text"))
         .join(F.broadcast(drawn), "doc_id")
         .groupBy("doc_id", "label")
         .agg(F.max("text").alias("text"))
     )
+    return texts, sizes
+
+
+def class_weights(label: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
+    """Weights that give each class of the sample the share it has among all labels."""
+    total = sum(sizes.values())
+    weight = np.ones(len(label))
+    for value, count in sizes.items():
+        mine = label == value
+        if mine.any():
+            weight[mine] = len(label) * count / (total * mine.sum())
+    return weight
 
 
 def keep_rows(docs: DataFrame, dropped: DataFrame, tied: DataFrame | None = None) -> DataFrame:

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boardroll.llm import bpe, exact_dedup, license_scan, simhash
+from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, simhash, toxicity
+from boardroll.llm.common import remainder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +23,22 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), codec)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every text; rows whose id has remainder 0 modulo 5 teach nothing."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.train(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    scored = toxicity.predict(toxicity.score(docs, model))
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op4_quality_gam(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text; rows whose id has remainder 2 modulo 4 teach nothing."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = quality_gam.train(docs, labels, remainder(F.col("doc_id"), 4) != 2)
+    scored = quality_gam.predict(quality_gam.score(docs, model), 0.7)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of identical texts; the largest id of each stays."""
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"), digests=True)
@@ -38,6 +56,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality_gam": op4_quality_gam,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op10_simhash": op10_simhash,
