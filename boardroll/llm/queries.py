@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, simhash, toxicity
+from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, simhash, toxicity, url_filter
 from boardroll.llm.common import remainder
 
 
+# The url rules and their verdicts.
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -44,6 +54,12 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"), digests=True)
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's host, path, rule and verdict; the rules' own verdicts train the model."""
+    pages = _table(spark, folder, "pages")
+    return url_filter.judge(pages, URL_RULES, url_filter.rule_labels(pages, URL_RULES))
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases, tags and expressions in every text."""
     return license_scan.scan_licences(_table(spark, folder, "documents"))
@@ -59,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_quality_gam": op4_quality_gam,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
     "op10_simhash": op10_simhash,
 }
