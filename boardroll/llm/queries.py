@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, simhash, toxicity, url_filter
+from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, quality_rules, simhash, toxicity, url_filter
 from boardroll.llm.common import remainder
 
 
@@ -65,6 +65,11 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licences(_table(spark, folder, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics of every text, the base rule, and robust outliers among the rest."""
+    return quality_rules.judge(_table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint, and smallest id reachable by links of three or fewer bits."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
+    "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
 
