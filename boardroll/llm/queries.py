@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardroll.llm import bpe, exact_dedup, license_scan, quality_gam, quality_rules, simhash, toxicity, url_filter
+from boardroll.llm import (
+    bpe,
+    exact_dedup,
+    license_scan,
+    packing,
+    quality_gam,
+    quality_rules,
+    sharding,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from boardroll.llm.common import remainder
 
 
@@ -33,6 +44,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_table(spark, folder, "documents"), codec)
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces in sequences of 512 to 8192 words."""
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every text; rows whose id has remainder 0 modulo 5 teach nothing."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -65,6 +81,11 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licences(_table(spark, folder, "documents"))
 
 
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes, tokens and rows."""
+    return sharding.shard_documents(_table(spark, folder, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics of every text, the base rule, and robust outliers among the rest."""
     return quality_rules.judge(_table(spark, folder, "documents"))
@@ -77,11 +98,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_gam": op4_quality_gam,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
+    "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
 }
