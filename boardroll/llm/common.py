@@ -58,26 +58,26 @@ def map_texts(
     docs: DataFrame,
     work: Callable[[], Callable[[list[str]], Sequence[pa.Array]]],
     fields: Sequence[StructField],
-    key: str = "doc_id",
+    keys: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Apply ``work()`` to every whole text in Arrow batches, keeping the row's key.
+    """Apply ``work()`` to every whole text in Arrow batches, keeping the row's ``keys``.
 
     ``work`` is called once per task and gives a function from a list of texts (null as
     empty) to one Arrow array per field. At most ``_ROWS_AT_ONCE`` texts are unpacked at
     a time. Rows are independent: no shuffle, one output row per input row.
     """
-    schema = StructType([StructField(key, docs.schema[key].dataType), *fields])
+    schema = StructType([*(StructField(k, docs.schema[k].dataType) for k in keys), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = work()
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
                 part = batch.slice(at, _ROWS_AT_ONCE)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                columns = [part.column(0), *apply(texts)]
+                texts = [t or "" for t in part.column(len(keys)).to_pylist()]
+                columns = [*part.columns[: len(keys)], *apply(texts)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
-    return docs.select(key, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(*keys, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def remainder(column: Column, modulus: int) -> Column:
@@ -131,11 +131,81 @@ def class_weights(label: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
     return weight
 
 
-def keep_rows(docs: DataFrame, dropped: DataFrame, tied: DataFrame | None = None) -> DataFrame:
-    """Rows of ``docs`` whose id is not in ``dropped``, a table of distinct ids.
+def filter_texts(docs: DataFrame, work: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
+    """Rows of ``docs``, with all columns, whose whole text passes.
 
-    A plain anti join: Spark broadcasts the ids only while their known size is below the
-    session's threshold and otherwise shuffles both sides. Null ids match nothing.
+    ``work`` is called once per task and gives a function from texts (null as empty) to
+    booleans. Every row is judged by itself, so null or repeated ids do not matter.
     """
-    ids = dropped.select(F.col("doc_id").alias("__dropped_id"))
-    return docs.join(ids, docs["doc_id"] == ids["__dropped_id"], "left_anti")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = work()
+        for batch in batches:
+            for low in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(low, _ROWS_AT_ONCE)
+                passed = apply([t or "" for t in part.column(at).to_pylist()])
+                yield part.filter(pa.array(np.asarray(passed, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+_PAGE = 32768  # bits per row of a bitmap, as bitmap_construct_agg makes them
+
+
+def bits_for(rows: int, most_bits: int) -> int:
+    """Bits of a bitmap for ``rows`` keys: sixteen or more each, up to ``most_bits``."""
+    return min(most_bits, max(_PAGE, 1 << (16 * max(rows, 1)).bit_length()))
+
+
+def bitmap(keys: DataFrame, bits: int) -> DataFrame:
+    """Bitmap of the hashed keys in ``key``, one row per page of 4 KB."""
+    place = F.pmod("key", F.lit(bits))
+    return keys.groupBy(F.bitmap_bucket_number(place).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map")
+    )
+
+
+def with_bit(rows: DataFrame, key: Column, pages: DataFrame, bits: int, name: str) -> DataFrame:
+    """Adds the boolean ``name``: whether the key's bit is set.
+
+    The pages are broadcast; they are ``bits / 8`` bytes at most, whatever the data.
+    """
+    page = pages.select(F.col("page").alias(f"{name}_page"), F.col("map").alias(f"{name}_map"))
+    bit = F.pmod(key, F.lit(bits))
+    joined = rows.join(F.broadcast(page), F.bitmap_bucket_number(bit) == F.col(f"{name}_page"), "left")
+    place = F.bitmap_bit_position(bit).cast("int")
+    byte = F.substring(F.col(f"{name}_map"), F.shiftright(place, 3) + 1, F.lit(1))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(number, place.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return joined.withColumn(name, held).drop(f"{name}_page", f"{name}_map")
+
+
+def text_digest(docs: DataFrame) -> Column:
+    """SHA-256 of the text: with the id, what tells a row of ``docs`` from others."""
+    return F.unhex(F.sha2(text_of(docs).cast("binary"), 256))
+
+
+def keep_marked(docs: DataFrame, marked: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
+    """Rows of ``docs``, with all columns, that ``marked`` keeps.
+
+    ``marked`` has doc_id, digest (``text_digest``) and kept for every row of ``docs``.
+    Rows that repeat both id and text are one document, of which one row stays. A bitmap
+    of the ids with something to drop is tested in the scan; only rows that it holds are
+    joined, so the texts of all others are never shuffled.
+    """
+    pairs = marked.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    pairs = pairs.where("NOT kept OR n > 1").select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("kept").alias("__kept")
+    )
+    pairs = stage(pairs, "decisions")
+    bits = bits_for(pairs.count(), most_bits)
+    key = F.xxhash64(docs["doc_id"])
+    pages = stage(bitmap(pairs.select(F.xxhash64("__id").alias("key")), bits), "decided-ids")
+    likely = with_bit(docs, key, pages, bits, "__likely")
+    rest = likely.where("__likely").withColumn("__own", text_digest(likely))
+    same = rest["doc_id"].eqNullSafe(pairs["__id"]) & (rest["__own"] == pairs["__digest"])
+    met = rest.join(pairs, same, "left").where("__kept IS NULL OR __kept")
+    once = met.where("__kept IS NULL").select(*docs.columns)
+    twice = met.where("__kept").dropDuplicates(["__id", "__digest"]).select(*docs.columns)
+    return likely.where("NOT __likely").select(*docs.columns).unionByName(once).unionByName(twice)

@@ -18,39 +18,15 @@ that also share that id one stays; ``group_size`` counts rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardroll.llm.common import stage, text_of
-
-_PAGE = 32768  # bits per row of a bitmap, as bitmap_construct_agg makes them
-
-
-def _bits_for(rows: int, most_bits: int) -> int:
-    return min(most_bits, max(_PAGE, 1 << (16 * max(rows, 1)).bit_length()))
+from boardroll.llm.common import bitmap, bits_for, keep_marked, stage, text_of, with_bit
 
 
 def _repeated(keys: DataFrame, bits: int) -> DataFrame:
-    """Bitmap, one row per page, of the hashed keys in ``key`` that occur more than once."""
-    twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    place = F.pmod("key", F.lit(bits))
-    return twice.groupBy(F.bitmap_bucket_number(place).alias("page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map")
-    )
-
-
-def _holds(key: Column, bits: int, pages: Column) -> Column:
-    """Whether the key's bit is set in its page (null: no page)."""
-    place = F.bitmap_bit_position(F.pmod(key, F.lit(bits))).cast("int")
-    byte = F.conv(F.hex(F.substring(pages, F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.getbit(byte, place.bitwiseAND(F.lit(7))) == 1, F.lit(False))
-
-
-def _survivors(rows: DataFrame, key: Column, pages: DataFrame, bits: int, name: str) -> DataFrame:
-    page = pages.select(F.col("page").alias(f"{name}_page"), F.col("map").alias(f"{name}_map"))
-    at = F.bitmap_bucket_number(F.pmod(key, F.lit(bits)))
-    joined = rows.join(F.broadcast(page), at == F.col(f"{name}_page"), "left")
-    return joined.withColumn(name, _holds(key, bits, F.col(f"{name}_map"))).drop(f"{name}_page", f"{name}_map")
+    """Bitmap of the keys in ``key`` that occur more than once."""
+    return bitmap(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), bits)
 
 
 def exact_duplicates(
@@ -62,16 +38,16 @@ def exact_duplicates(
     are then read in full for that column alone.
     """
     text = text_of(docs)
-    bits = _bits_for(docs.count(), most_bits)
+    bits = bits_for(docs.count(), most_bits)
     rows = docs.select("doc_id", text.alias("body"))
     length = F.octet_length("body").cast("long")
     by_length = F.xxhash64(length)
     by_prefix = F.xxhash64(length, F.substring("body", 1, prefix))
 
     lengths = stage(_repeated(rows.select(by_length.alias("key")), bits), "lengths")
-    rows = _survivors(rows, by_length, lengths, bits, "second")
+    rows = with_bit(rows, by_length, lengths, bits, "second")
     prefixes = stage(_repeated(rows.where("second").select(by_prefix.alias("key")), bits), "prefixes")
-    rows = _survivors(rows, F.when(F.col("second"), by_prefix), prefixes, bits, "third")
+    rows = with_bit(rows, F.when(F.col("second"), by_prefix), prefixes, bits, "third")
 
     full = F.sha2(F.col("body").cast("binary"), 256)
     columns = ["doc_id", F.when(F.col("third"), F.unhex(full)).alias("full"), length.alias("size")]
@@ -93,14 +69,13 @@ def exact_duplicates(
         groups, (F.col("own_key") == F.col("key")) & (F.col("size") == F.col("key_size")), "left"
     )
     alone = F.col("key").isNull()
-    out = found.select(
+    return found.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (alone | (F.col("best.tie") == F.col("tie"))).alias("kept"),
         *([F.lower(F.hex("digest")).alias("text_sha256")] if digests else []),
     )
-    return out
 
 
 def without_exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -109,20 +84,6 @@ def without_exact_duplicates(docs: DataFrame) -> DataFrame:
     Rows are chosen by id and text digest. Where a table repeats an id with the same text,
     one of those rows is taken.
     """
-    found = exact_duplicates(docs, digests=True)
-    found = stage(found.where("group_size > 1 or doc_id is null").select("doc_id", "kept", "text_sha256", "group_size"), "dedup")
-    digest = F.sha2(text_of(docs).cast("binary"), 256)
-    name = "__text_digest"
-    dropped = found.where("not kept").select("doc_id", F.col("text_sha256").alias("d")).distinct()
-    stays = found.where("kept").select("doc_id", F.col("text_sha256").alias("d"))
-    again = stage(dropped.join(stays, dropped["doc_id"].eqNullSafe(stays["doc_id"]) & (dropped["d"] == stays["d"]), "left_semi"), "again")
-    gone = stage(dropped.join(again, dropped["doc_id"].eqNullSafe(again["doc_id"]) & (dropped["d"] == again["d"]), "left_anti"), "gone")
-    marked = docs.withColumn(name, digest)
-    at = marked["doc_id"].eqNullSafe(gone["doc_id"]) & (marked[name] == gone["d"])
-    rest = marked.join(gone, at, "left_anti")
-    if again.isEmpty():
-        return rest.select(*docs.columns)
-    at = rest["doc_id"].eqNullSafe(again["doc_id"]) & (rest[name] == again["d"])
-    once = rest.join(again, at, "left_anti")
-    twice = rest.join(again, at, "left_semi").dropDuplicates(["doc_id", name])
-    return once.unionByName(twice).select(*docs.columns)
+    marked = exact_duplicates(docs, digests=True)
+    marked = marked.select("doc_id", "kept", F.unhex("text_sha256").alias("digest"))
+    return keep_marked(docs, stage(marked, "marked"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField
 
-from boardroll.llm.common import class_weights, label_sample, map_texts
+from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts
 
 FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "marks", "outside_ascii", "distinct_words",
@@ -208,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 4
     def work():
         return lambda texts: [pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))]
 
-    rows = map_texts(sample, work, [StructField("x", ArrayType(DoubleType()))], key="label").collect()
+    rows = map_texts(sample, work, [StructField("x", ArrayType(DoubleType()))], keys=["label"]).collect()
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     y = np.array([r["label"] for r in rows], np.float64)
     order = np.lexsort((*x.T, y))  # the same sums whatever order the rows come in
@@ -235,3 +235,14 @@ def score(docs: DataFrame, model: Gam) -> DataFrame:
 def predict(scored: DataFrame, threshold: float) -> DataFrame:
     """Adds predicted: 1 from ``threshold`` on, else 0."""
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def accepted(docs: DataFrame, model: Gam, threshold: float) -> DataFrame:
+    """Rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work():
+        own = shared.value
+        return lambda texts: own.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1)) >= threshold
+
+    return filter_texts(docs, work)

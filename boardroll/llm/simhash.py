@@ -21,7 +21,7 @@ all its members have null ids); repeated rows get the same row twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from boardroll.llm.common import map_texts, stage
+from boardroll.llm.common import keep_marked, map_texts, stage, text_digest
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _WHITE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
@@ -66,8 +66,8 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp, the fingerprint's bits as a signed long, for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keys`` and fp, the fingerprint's bits as a signed long, for every row."""
 
     def work():
         def apply(texts: list[str]) -> list[pa.Array]:
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
         return apply
 
-    return map_texts(docs, work, [StructField("fp", LongType())])
+    return map_texts(docs, work, [StructField("fp", LongType())], keys)
 
 
 def _masks(blocks: int, bits: int) -> list[int]:
@@ -203,9 +203,8 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id for every row."""
-    marked = stage(fingerprints(docs, shingle), "fingerprints")
+def _classes(marked: DataFrame, bits: int) -> DataFrame:
+    """fp, root (one fingerprint per component) and component_id of every fingerprint."""
     distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(block_links(distinct.select("fp"), bits))
     linked = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
@@ -213,7 +212,29 @@ def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFra
     )
     linked = stage(linked, "linked")
     named = stage(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "named")
-    classes = stage(linked.join(named, "root").select("fp", "component_id"), "classes")
+    return stage(linked.join(named, "root").select("fp", "root", "component_id"), "classes")
+
+
+def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id for every row."""
+    marked = stage(fingerprints(docs, shingle), "fingerprints")
+    classes = _classes(marked, bits)
     return marked.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def without_near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` per component, with all columns: that of the smallest id.
+
+    Among rows that share that id the one of the smallest text digest stays; a null id
+    stays only where its component has no other.
+    """
+    marked = docs.select("doc_id", "text").withColumn("digest", text_digest(docs))
+    marked = stage(fingerprints(marked, shingle, ("doc_id", "digest")), "fingerprints")
+    rooted = stage(marked.join(_classes(marked, bits), "fp").select("root", "doc_id", "digest"), "rooted")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest")).alias("first")
+    first = stage(rooted.groupBy("root").agg(first), "first")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    decided = rooted.join(first, "root").select("doc_id", "digest", kept.alias("kept"))
+    return keep_marked(docs, decided)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField
 
-from boardroll.llm.common import class_weights, label_sample, map_texts
+from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts
 
 # Terms that name groups neutrally; a term may be swapped for any other of its line.
 IDENTITY = (
@@ -173,7 +173,7 @@ def train(
         return apply
 
     fields = [StructField("x", ArrayType(IntegerType())), StructField("terms", ArrayType(StringType()))]
-    table = map_texts(sample, work, fields, key="label").toArrow()
+    table = map_texts(sample, work, fields, keys=["label"]).toArrow()
     y = table.column("label").to_numpy().astype(np.float64)
     x = [r.values.to_numpy() for r in table.column("x")]
     order = sorted(range(len(y)), key=lambda k: (y[k], len(x[k]), x[k].tobytes()))
@@ -198,3 +198,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def predict(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Adds predicted: 1 from ``threshold`` on, else 0."""
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def harmless(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work():
+        apply = shared.value.scorer()
+        return lambda texts: apply(texts) < threshold
+
+    return filter_texts(docs, work)
