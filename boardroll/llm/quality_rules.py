@@ -70,18 +70,24 @@ def base_statistics(docs: DataFrame, *carry: str) -> DataFrame:
     )
     for width in (1, 2, 4):  # hashes of windows of 2, 4 and 8 words, each from two halves
         counted = counted.withColumn("windows", _joined("windows", width))
-    # Windows sorted by hash show their repeats side by side; their places, sorted again,
-    # give the words covered. The inner arrays are bound once by an outer transform.
-    repeated = F.expr(
-        "IF(size(array_distinct(windows)) = size(windows), 0L,"
-        " transform(array(array_sort(transform(windows, (h, i) -> struct(h AS h, i AS i)))), z ->"
-        "  transform(array(array_sort(transform(filter(z, (x, k) ->"
-        "   (k > 0 AND z[k - 1].h = x.h) OR (k + 1 < size(z) AND z[k + 1].h = x.h)), x -> x.i))), p ->"
-        f"   aggregate(transform(p, (a, k) -> IF(k + 1 < size(p), least({_WINDOW}, p[k + 1] - a), {_WINDOW})),"
-        "    0L, (s, x) -> s + x))[0])[0])"
+    # Windows sorted by hash show their repeats side by side; the places of these, sorted
+    # again, give the words covered. Texts without a repeat skip all of it.
+    kept = ["doc_id", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    sorted_windows = F.sort_array(F.when(repeats, placed).otherwise(F.slice(placed, 1, 0)))
+    beside = F.expr(
+        "filter(placed, (x, k) -> (k > 0 AND placed[k - 1].h = x.h)"
+        " OR (k + 1 < size(placed) AND placed[k + 1].h = x.h))"
     )
-    return counted.select(
-        "doc_id", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words")
+    covered = F.expr(
+        "aggregate(places, named_struct('last', -8, 'words', 0L), (s, p) ->"
+        " named_struct('last', p, 'words', s.words + least(8, p - s.last))).words"
+    )
+    return (
+        counted.select(*kept, sorted_windows.alias("placed"))
+        .select(*kept, F.sort_array(beside["i"]).alias("places"))
+        .select(*kept, covered.alias("n_repeat_words"))
     )
 
 
