@@ -40,6 +40,11 @@ def _sql(text: str) -> str:
     return re.sub(r"MATR\((\w+)\)", lambda m: _MATR.replace("{0}", m[1]), text)
 
 
+# Most periods of a grid are held on a few days only.
+_RARE_PERIODS = ", ".join(
+    f"CASE WHEN day(date_evenement) % 29 = {i} THEN 1 END AS per_{i:02d}" for i in range(4, 20)
+)
+
 _RULES = {
     # One row per order: a pupil's day at school.
     "src_visits": """
@@ -52,7 +57,7 @@ _RULES = {
     "src_schools": """
         SELECT DISTINCT id_eco, lpad(CAST(n AS STRING), 3, '0') AS eco, annee,
                CAST(annee AS STRING) || '-' || CAST(annee + 1 AS STRING) AS annee_scolaire,
-               n_name AS school_friendly_name
+               CASE WHEN n_nationkey = 7 THEN NULL ELSE n_name END AS school_friendly_name
         FROM {src_visits} JOIN {nation} ON n = n_nationkey""",
     "src_year_spans": """
         SELECT DISTINCT annee, make_date(annee, 7, 1) AS date_deb,
@@ -83,7 +88,8 @@ _RULES = {
                CASE WHEN day(date_evenement) % 11 <> 0 THEN 1 END AS per_01,
                CASE WHEN day(date_evenement) % 11 <> 0 AND grille = 'A' THEN 1 END AS per_02,
                CASE WHEN day(date_evenement) % 3 = 1 THEN 1 END AS per_03,
-               CASE WHEN day(date_evenement) % 4 = 1 THEN 1 END AS per_20
+               CASE WHEN day(date_evenement) % 4 = 1 THEN 1 END AS per_20,
+               """ + _RARE_PERIODS + """
         FROM (SELECT id_eco, day AS date_evenement, @each('A', 'B')@ AS grille
               FROM (SELECT DISTINCT id_eco, day FROM {src_visits}) AS days) AS cells""",
     "src_absences": """

@@ -50,9 +50,9 @@ def _events(t: Tables) -> DataFrame:
 @operator_query
 def project_rename(t: Tables) -> DataFrame:
     columns = (
-        SourceColumn("n_nationkey", "nation_key", "int"),
-        SourceColumn("n_name", "nation_name", "string"),
-        SourceColumn("n_regionkey", "region_key", "int"),
+        SourceColumn("n_nationkey", "int", "nation_key"),
+        SourceColumn("n_name", "string", "nation_name"),
+        SourceColumn("n_regionkey", "int", "region_key"),
     )
     return project(t.nation, Source("driver", "nation", columns))
 
@@ -114,9 +114,28 @@ def semi_in(t: Tables) -> DataFrame:
 
 @operator_query
 def anti_not_in(t: Tables) -> DataFrame:
-    """NOT IN over a key without nulls, which is an anti join."""
-    big = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.join(big, "c_custkey", "left_anti").select("c_custkey", "c_name")
+    big = t.orders.filter("o_totalprice > 400000")
+    return op.not_in(t.customer, "c_custkey", big, "o_custkey").select("c_custkey", "c_name")
+
+
+@operator_query
+def anti_not_in_null_keys(t: Tables) -> DataFrame:
+    """NOT IN for keys that may be null: such a row never passes."""
+    keyed = t.customer.withColumn("key", F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey")))
+    big = t.orders.filter("o_totalprice > 400000")
+    return op.not_in(keyed, "key", big, "o_custkey").select("c_custkey", "key")
+
+
+@operator_query
+def anti_not_in_null_listed(t: Tables) -> DataFrame:
+    """NOT IN per market segment of a list, where a list with a null lets nothing pass."""
+    big = t.orders.filter("o_totalprice > 400000")
+    holed = big.withColumn("listed", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")))
+    passed = [
+        op.not_in(t.customer, "c_custkey", rows, "listed").select("c_custkey", F.lit(label).alias("list"))
+        for label, rows in (("with nulls", holed), ("without", holed.filter("listed IS NOT NULL")))
+    ]
+    return passed[0].unionByName(passed[1])
 
 
 @operator_query

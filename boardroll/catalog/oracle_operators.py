@@ -47,6 +47,14 @@ OPERATOR_ORACLES = {
         SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '-' ELSE c_mktsegment END AS segment FROM customer""",
     "semi_in": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
     "anti_not_in": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
+    "anti_not_in_null_keys": """
+        SELECT c_custkey, key FROM (SELECT *, CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS key FROM customer) AS keyed
+        WHERE key NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)""",
+    "anti_not_in_null_listed": """
+        WITH holed AS (SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS listed FROM orders WHERE o_totalprice > 400000)
+        SELECT c_custkey, 'with nulls' AS list FROM customer WHERE c_custkey NOT IN (SELECT listed FROM holed)
+        UNION ALL
+        SELECT c_custkey, 'without' FROM customer WHERE c_custkey NOT IN (SELECT listed FROM holed WHERE listed IS NOT NULL)""",
     "anti_not_exists": """
         SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey
                AND l_returnflag = 'R' AND l_extendedprice * 10 > o_totalprice)""",

@@ -10,9 +10,10 @@ from __future__ import annotations
 import re
 
 from boardroll.catalog.derived import PARAMS, RULES, duckdb_sql
-from boardroll.catalog.plan_queries import CHECKED, STAFF_CHOICES, STAFF_SEARCH
+from boardroll.catalog.plan_queries import CHECKED, DATABASES, INPUTS, STAFF_CHOICES, STAFF_SEARCH
 from boardroll.functions import NULL_MARKER
 from boardroll.plans.checks import CHECKS
+from boardroll.sources import SOURCES
 
 AS_OF = f"DATE '{PARAMS.as_of}'"
 YEAR = PARAMS.current_year
@@ -50,6 +51,19 @@ SLICER_KEY = key("genre", "job_group_category", "lieu_trav", "stat_eng", "etat")
 TERM = "CASE WHEN etape IN ('1', '2', '3') THEN CAST(etape AS INTEGER) ELSE 0 END"
 GROUP = "coalesce(CASE WHEN ordre_ens = '4' THEN dist ELSE grp_rep END, '-')"
 
+_FILTERS = {"school_friendly_name": "Tout le CSS", "groupe": "Tout", "etape_friendly": "Tout"}
+
+
+def _levels(source: str, fixed: str, *dims: str) -> str:
+    """Sums of ``source`` at every level: one plain grouping per set of totals, united."""
+    parts = []
+    for mask in range(2 ** len(dims)):
+        shown = [f"'{_FILTERS[d]}' AS {d}" if mask >> k & 1 else d for k, d in enumerate(dims)]
+        columns = ", ".join([fixed, *shown])
+        parts.append(f"SELECT {columns}, sum(rate * n) AS wn, sum(n) AS n FROM {source} GROUP BY ALL")
+    return " UNION ALL ".join(parts)
+
+
 ABSENCES = {
     "absence_events": f"""
         SELECT date_abs, fiche, id_eco, motif_abs, remarque, id_mat_grp FROM src_absences
@@ -61,8 +75,7 @@ ABSENCES = {
         FROM src_reasons WHERE cpt_abs IS NOT NULL AND cpt_abs <> 3""",
     "day_plan": """
         SELECT id_eco, date_evenement AS date_abs, grille,
-               CAST(count(per_01) > 0 AS INTEGER) + CAST(count(per_02) > 0 AS INTEGER)
-               + CAST(count(per_03) > 0 AS INTEGER) + CAST(count(per_20) > 0 AS INTEGER) AS n_expected
+               """ + " + ".join(f"CAST(count(per_{i:02d}) > 0 AS INTEGER)" for i in range(1, 21)) + """ AS n_expected
         FROM src_calendar WHERE jour_cycle = 'J' GROUP BY ALL""",
     "missed": f"""
         SELECT e.date_abs, e.fiche, e.id_eco, coalesce(g.mat, '-') AS code_matiere, r.is_absence,
@@ -176,43 +189,31 @@ ABSENCES = {
         LEFT JOIN src_schools e ON e.id_eco = p.id_eco""",
     "daily_metrics": "SELECT * REPLACE (round(absence_rate, 6) AS absence_rate) FROM raw_metrics",
     "rate_cells": """
-        SELECT annee, school_friendly_name, groupe, etape_friendly, date_evenement, jour_semaine, event_kind,
-               max(n_events) AS n_events, max(n_students_daily) AS n, max(absence_rate) AS rate
+        SELECT annee, coalesce(school_friendly_name, 'inconnu') AS school_friendly_name, groupe, etape_friendly, date_evenement,
+               jour_semaine, event_kind, max(n_events) AS n_events, max(n_students_daily) AS n, max(absence_rate) AS rate
         FROM raw_metrics GROUP BY ALL""",
-    "rate_cube": """
-        SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
-               coalesce(etape_friendly, 'Tout') AS etape_friendly, date_evenement, jour_semaine, event_kind,
-               sum(n_events) AS n_events, sum(n) AS n, sum(rate * n) / sum(n) AS rate
-        FROM rate_cells GROUP BY annee, date_evenement, jour_semaine, event_kind, CUBE (school_friendly_name, groupe, etape_friendly)""",
-    "board_rates": """
-        SELECT annee, date_evenement, etape_friendly, event_kind, sum(rate * n) / sum(n) AS rate FROM rate_cube GROUP BY ALL""",
-    "school_rates": """
-        SELECT annee, school_friendly_name, etape_friendly, event_kind, sum(rate * n) / sum(n) AS rate FROM rate_cube GROUP BY ALL""",
-    "weekday_rates": """
-        SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
-               coalesce(etape_friendly, 'Tout') AS etape_friendly, jour_semaine, event_kind, sum(rate * n) / sum(n) AS rate
-        FROM rate_cells GROUP BY annee, jour_semaine, event_kind, CUBE (school_friendly_name, groupe, etape_friendly)""",
+    "metric_cells": """
+        SELECT annee, coalesce(school_friendly_name, 'inconnu') AS school_friendly_name, groupe, etape_friendly, event_kind,
+               absence_rate AS rate, n_students_daily AS n FROM raw_metrics""",
     "daily_rate_report": f"""
-        SELECT {FILTER_KEY} AS filter_key, jour_semaine, date_evenement, CAST(n_events AS BIGINT) AS n_events,
-               round(c.rate, 6) AS absence_rate, CAST(n AS BIGINT) AS n_students_daily, round(b.rate, 6) AS absence_rate_css,
-               round(s.rate, 6) AS avg_absence_rate_school, round(w.rate, 6) AS avg_absence_rate_jour
-        FROM rate_cube c JOIN board_rates b USING (annee, date_evenement, etape_friendly, event_kind)
-        JOIN school_rates s USING (annee, school_friendly_name, etape_friendly, event_kind)
-        JOIN weekday_rates w USING (annee, school_friendly_name, groupe, etape_friendly, jour_semaine, event_kind)""",
-    "term_cube": """
-        SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
-               etape_friendly, event_kind, sum(absence_rate * n_students_daily) / sum(n_students_daily) AS rate
-        FROM raw_metrics GROUP BY annee, etape_friendly, event_kind, CUBE (school_friendly_name, groupe)""",
-    "year_cube": """
-        SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
-               event_kind, sum(absence_rate * n_students_daily) / sum(n_students_daily) AS rate
-        FROM raw_metrics GROUP BY annee, event_kind, CUBE (school_friendly_name, groupe)""",
+        SELECT {FILTER_KEY} AS filter_key, jour_semaine, date_evenement, CAST(total.n_events AS BIGINT) AS n_events,
+               round(total.wn / total.n, 6) AS absence_rate, CAST(total.n AS BIGINT) AS n_students_daily,
+               round(board.wn / board.n, 6) AS absence_rate_css, round(school.wn / school.n, 6) AS avg_absence_rate_school,
+               round(weekday.wn / weekday.n, 6) AS avg_absence_rate_jour
+        FROM ({_levels("rate_cells", "annee, date_evenement, jour_semaine, event_kind, sum(n_events) AS n_events", *_FILTERS)}) AS total
+        LEFT JOIN ({_levels("rate_cells", "annee, date_evenement, event_kind", "etape_friendly")}) AS board
+          USING (annee, date_evenement, event_kind, etape_friendly)
+        LEFT JOIN ({_levels("rate_cells", "annee, event_kind", "school_friendly_name", "etape_friendly")}) AS school
+          USING (annee, event_kind, school_friendly_name, etape_friendly)
+        LEFT JOIN ({_levels("rate_cells", "annee, jour_semaine, event_kind", *_FILTERS)}) AS weekday
+          USING (annee, jour_semaine, event_kind, school_friendly_name, groupe, etape_friendly)""",
     "term_rate_report": f"""
-        SELECT {FILTER_KEY} AS filter_key, etape_friendly, round(t.rate, 6) AS avg_absence_rate_etape,
-               round(b.rate, 6) AS avg_absence_rate_etape_css, round(y.rate, 6) AS avg_absence_rate_school
-        FROM term_cube t JOIN year_cube y USING (annee, school_friendly_name, groupe, event_kind)
-        LEFT JOIN (SELECT annee, etape_friendly, event_kind, rate FROM term_cube
-                   WHERE school_friendly_name = 'Tout le CSS' AND groupe = 'Tout') AS b USING (annee, etape_friendly, event_kind)""",
+        SELECT {FILTER_KEY} AS filter_key, etape_friendly, round(term.wn / term.n, 6) AS avg_absence_rate_etape,
+               round(board.wn / board.n, 6) AS avg_absence_rate_etape_css, round(school.wn / school.n, 6) AS avg_absence_rate_school
+        FROM ({_levels("metric_cells", "annee, etape_friendly, event_kind", "school_friendly_name", "groupe")}) AS term
+        LEFT JOIN ({_levels("metric_cells", "annee, etape_friendly, event_kind")}) AS board USING (annee, etape_friendly, event_kind)
+        LEFT JOIN ({_levels("metric_cells", "annee, event_kind", "school_friendly_name", "groupe")}) AS school
+          USING (annee, event_kind, school_friendly_name, groupe)""",
     "grid_absences": f"""
         SELECT a.date_abs AS date_evenement, g.jour_semaine, a.groupe, 'étape : ' || CAST(g.etape AS VARCHAR) AS etape_friendly,
                a.event_kind, a.event_description, a.code_matiere, a.id_eco, e.annee, e.school_friendly_name
@@ -221,31 +222,34 @@ ABSENCES = {
              AND g.etape = CASE WHEN a.etape IN ('1', '2', '3') THEN CAST(a.etape AS INTEGER) ELSE 0 END AND g.is_school_day = 1
         LEFT JOIN src_schools e ON e.id_eco = a.id_eco
         WHERE a.school_year >= {YEAR - PARAMS.years_in_report}""",
+    "named_absences": """
+        SELECT * REPLACE (coalesce(school_friendly_name, 'inconnu') AS school_friendly_name) FROM grid_absences""",
     "kind_cube": """
         SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
                coalesce(etape_friendly, 'Tout') AS etape_friendly, date_evenement, jour_semaine, event_kind, event_description,
                count(*) AS n_events
-        FROM grid_absences
+        FROM named_absences
         GROUP BY annee, date_evenement, jour_semaine, event_kind, event_description, CUBE (school_friendly_name, groupe, etape_friendly)""",
     "kind_distribution_report": f"""
         SELECT {FILTER_KEY} AS filter_key, date_evenement, jour_semaine, event_description, n_events FROM kind_cube""",
     "described_subjects": """
-        SELECT n.id_eco, n.mat, n.description_abreg FROM src_subject_names n JOIN src_schools s ON s.id_eco = n.id_eco
+        SELECT s.annee, n.mat, n.description_abreg FROM src_subject_names n JOIN src_schools s ON s.id_eco = n.id_eco
         QUALIFY row_number() OVER (PARTITION BY s.annee, n.mat ORDER BY n.id_eco DESC) = 1""",
     "subject_cube": """
         SELECT annee, coalesce(school_friendly_name, 'Tout le CSS') AS school_friendly_name, coalesce(groupe, 'Tout') AS groupe,
                coalesce(etape_friendly, 'Tout') AS etape_friendly, date_evenement, jour_semaine, event_kind, code_matiere,
                description_abreg, count(*) AS n_events
-        FROM grid_absences a JOIN described_subjects d ON d.id_eco = a.id_eco AND d.mat = a.code_matiere
+        FROM named_absences a JOIN described_subjects d USING (annee) WHERE d.mat = a.code_matiere
         GROUP BY annee, date_evenement, jour_semaine, event_kind, code_matiere, description_abreg,
                  CUBE (school_friendly_name, groupe, etape_friendly)""",
     "subject_distribution_report": f"""
         SELECT {FILTER_KEY} AS filter_key, date_evenement, jour_semaine, code_matiere, description_abreg, n_events FROM subject_cube""",
     "filter_cube": """
         SELECT annee, eco, coalesce(groupe, 'Tout') AS groupe, coalesce(etape_friendly, 'Tout') AS etape_friendly, event_kind
-        FROM raw_metrics GROUP BY annee, event_kind, CUBE (eco, groupe, etape_friendly)""",
+        FROM (SELECT * REPLACE (coalesce(eco, 'inconnu') AS eco) FROM raw_metrics) AS known
+        GROUP BY annee, event_kind, CUBE (eco, groupe, etape_friendly)""",
     "named_filters": """
-        SELECT c.*, coalesce(s.school_friendly_name, 'Tout le CSS') AS school_friendly_name
+        SELECT c.*, CASE WHEN c.eco IS NULL THEN 'Tout le CSS' ELSE coalesce(s.school_friendly_name, 'inconnu') END AS school_friendly_name
         FROM filter_cube c LEFT JOIN src_schools s ON s.eco = c.eco AND s.annee = c.annee""",
     "absence_filters_report": f"""
         SELECT annee, school_friendly_name, etape_friendly, event_kind, groupe, {FILTER_KEY} AS filter_key, eco FROM named_filters""",
@@ -311,29 +315,27 @@ STUDENTS = {
         SELECT DISTINCT w.code_perm, p.id_eco, y.annee FROM src_pupils p
         LEFT JOIN src_school_years y ON y.id_eco = p.id_eco LEFT JOIN src_people w ON w.fiche = p.fiche
         WHERE p.ordre_ens = '3' AND p.grp_rep <> 'G1' AND p.classe BETWEEN 'A' AND 'D'""",
-    "kept_addresses": """
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fiche ORDER BY date_effect) AS nth,
-                              (SELECT count(DISTINCT b.type_adr) FROM src_addresses b
-                               WHERE b.fiche = a.fiche AND b.date_effect <> b.date_fin) AS n_types
-                       FROM src_addresses a WHERE date_effect <> date_fin) AS ranked
-        WHERE nth = 1 OR n_types = 1 OR ind_envoi_meq = 1""",
-    "held_addresses": f"""
-        SELECT *, coalesce(CAST(lead(date_effect) OVER (PARTITION BY fiche ORDER BY date_effect) - 1 AS DATE), {AS_OF}) AS until
-        FROM kept_addresses""",
-    "address_years": f"""
-        SELECT fiche, CAST(unnest(generate_series(min({sy('date_effect')}), max({sy('until', 9)}))) AS INTEGER) AS annee
-        FROM held_addresses GROUP BY fiche""",
+    "counted_addresses": """
+        SELECT a.* FROM src_addresses a
+        WHERE a.date_effect <> a.date_fin AND (a.ind_envoi_meq = 1
+          OR NOT EXISTS (SELECT 1 FROM src_addresses b WHERE b.fiche = a.fiche AND b.date_effect <> b.date_fin
+                         AND b.date_effect < a.date_effect)
+          OR NOT EXISTS (SELECT 1 FROM src_addresses b WHERE b.fiche = a.fiche AND b.date_effect <> b.date_fin
+                         AND b.type_adr <> a.type_adr))""",
+    "lived_addresses": f"""
+        SELECT a.*, coalesce((SELECT min(b.date_effect) - 1 FROM counted_addresses b
+                              WHERE b.fiche = a.fiche AND b.date_effect > a.date_effect), {AS_OF}) AS left_on
+        FROM counted_addresses a""",
     "yearly_addresses": f"""
-        SELECT y.fiche, y.annee, l.no_civ AS last_no_civ, l.orient_rue AS last_orient_rue, l.genre_rue AS last_genre_rue,
-               l.rue AS last_rue, l.ville AS last_ville, l.code_post AS last_code_post, s.no_civ AS no_civ_30sept,
-               s.orient_rue AS orient_rue_30sept, s.genre_rue AS genre_rue_30sept, s.rue AS rue_30sept,
-               s.ville AS ville__30sept, s.code_post AS code_post_30sept
-        FROM address_years y
-        LEFT JOIN (SELECT a.fiche, b.annee, a.* EXCLUDE (fiche) FROM address_years b JOIN held_addresses a ON a.fiche = b.fiche
-                        AND b.annee BETWEEN {sy('a.date_effect')} AND {sy('a.until', 9)}
-                   QUALIFY row_number() OVER (PARTITION BY a.fiche, b.annee ORDER BY a.date_effect DESC) = 1) AS l
-               ON l.fiche = y.fiche AND l.annee = y.annee
-        LEFT JOIN held_addresses s ON s.fiche = y.fiche AND make_date(y.annee, 9, 30) BETWEEN s.date_effect AND s.until""",
+        SELECT fiche, annee, last.no_civ AS last_no_civ, last.orient_rue AS last_orient_rue, last.genre_rue AS last_genre_rue,
+               last.rue AS last_rue, last.ville AS last_ville, last.code_post AS last_code_post, sept.no_civ AS no_civ_30sept,
+               sept.orient_rue AS orient_rue_30sept, sept.genre_rue AS genre_rue_30sept, sept.rue AS rue_30sept,
+               sept.ville AS ville__30sept, sept.code_post AS code_post_30sept
+        FROM (SELECT a.fiche, CAST(y.y AS INTEGER) AS annee, arg_max(a, a.date_effect) AS last,
+                     arg_max(a, a.date_effect) FILTER (make_date(y.y, 9, 30) BETWEEN a.date_effect AND a.left_on) AS sept
+              FROM lived_addresses a JOIN (SELECT unnest(generate_series(1980, 2010)) AS y) AS y
+                ON y.y >= {sy('a.date_effect')} AND y.y <= {sy('a.left_on', 9)}
+              GROUP BY a.fiche, y.y) AS years""",
 }
 
 
@@ -447,18 +449,20 @@ ADULTS = {
 PEOPLE = {
     "job_class_names": """
         SELECT corp_empl AS code_job, corp_empl || ' - (' || descr || ')' AS code_job_name FROM src_job_classes""",
-    "job_starts": """
-        SELECT matr, ref_empl, corp_empl, etat, lieu_trav, stat_eng, date_eff, max(date_fin) AS date_fin FROM src_jobs GROUP BY ALL""",
-    "job_breaks": f"""
-        SELECT *, CASE WHEN {weekdays('before', 'date_eff')} <= 1 THEN 0 ELSE 1 END AS breaks
-        FROM (SELECT *, lag(date_fin) OVER (PARTITION BY matr, ref_empl, corp_empl, etat, lieu_trav, stat_eng ORDER BY date_eff) AS before
-              FROM job_starts) AS linked""",
-    "job_islands": """
-        SELECT *, sum(breaks) OVER (PARTITION BY matr, ref_empl, corp_empl, etat, lieu_trav, stat_eng ORDER BY date_eff) AS island FROM job_breaks""",
+    "held_jobs": """
+        SELECT md5(concat_ws('|', matr, ref_empl, corp_empl, etat, lieu_trav, stat_eng)) AS job, matr, ref_empl, corp_empl, etat,
+               lieu_trav, stat_eng, date_eff, max(date_fin) AS date_fin FROM src_jobs GROUP BY ALL""",
+    "opening_jobs": f"""
+        SELECT a.job, a.date_eff FROM held_jobs a
+        WHERE NOT EXISTS (SELECT 1 FROM held_jobs b WHERE b.job = a.job AND b.date_eff < a.date_eff
+                          AND {weekdays('b.date_fin', 'a.date_eff')} <= 1
+                          AND b.date_eff = (SELECT max(c.date_eff) FROM held_jobs c WHERE c.job = a.job AND c.date_eff < a.date_eff))""",
     "activity_history": f"""
-        SELECT matr, {sy('min(date_eff)')} AS school_year, ref_empl, corp_empl, etat AS etat_empl, stat_eng, lieu_trav,
-               min(date_eff) AS date_eff, least(max(date_fin), {AS_OF}) AS date_fin
-        FROM job_islands GROUP BY matr, ref_empl, corp_empl, etat, stat_eng, lieu_trav, island""",
+        SELECT a.matr, {sy('o.date_eff')} AS school_year, a.ref_empl, a.corp_empl, a.etat AS etat_empl, a.stat_eng, a.lieu_trav,
+               o.date_eff, least(max(a.date_fin), {AS_OF}) AS date_fin
+        FROM opening_jobs o JOIN held_jobs a ON a.job = o.job AND a.date_eff >= o.date_eff
+        WHERE NOT EXISTS (SELECT 1 FROM opening_jobs p WHERE p.job = o.job AND p.date_eff > o.date_eff AND p.date_eff <= a.date_eff)
+        GROUP BY ALL""",
     "log_moves": """
         SELECT * FROM (SELECT *, lag(ref_empl) OVER (PARTITION BY matr ORDER BY date_eff, date_creat, ref_empl) AS before FROM src_job_log) AS l
         WHERE ref_empl <> coalesce(before, '')""",
@@ -707,6 +711,10 @@ def _checks(name: str) -> str:
     """Failures of a table's checks, one query each."""
     checks = CHECKS[name]
     parts = [(f"not_null:{c}", f"SELECT 1 FROM {name} WHERE {c} IS NULL") for c in checks.not_null]
+    parts += [
+        (f"accepted_values:{c}", f"SELECT 1 FROM {name} WHERE {c} NOT IN ({', '.join(map(repr, values))})")
+        for c, values in checks.accepted.items()
+    ]
     parts += [
         (f"accepted_range:{c}", f"SELECT 1 FROM {name} WHERE {c} < {low} OR {c} > {high}")
         for c, (low, high) in checks.ranges.items()
@@ -726,6 +734,22 @@ TABLES_SQL = {**ABSENCES, **STUDENTS, **ADULTS, **PEOPLE, **PAY, **ACCESS}
 TABLES_SQL |= {f"checks_of_{name}": _checks(name) for name in CHECKED}
 
 
+def _profile(database: str) -> str:
+    """Filled values per declared column, counted on the derived inputs themselves."""
+    parts = []
+    for name in [n for n in INPUTS if n in SOURCES and SOURCES[n].database == database]:
+        declared = ", ".join(f"'{column.name}'" for column in SOURCES[name].columns)
+        counts = f"SELECT count(COLUMNS(*)) FROM {INPUTS[name]}"
+        parts.append(
+            f"SELECT '{name}' AS input, \"column\", n_values"
+            f" FROM (UNPIVOT ({counts}) ON COLUMNS(*) INTO NAME \"column\" VALUE n_values) AS counted"
+            f" WHERE \"column\" IN ({declared})"
+        )
+    return " UNION ALL ".join(parts)
+
+TABLES_SQL |= {f"sources_of_{database}": _profile(database) for database in DATABASES}
+
+
 def compose(name: str) -> str:
     """One statement: the CTEs a table needs, in order, and the table itself."""
     texts = {n: duckdb_sql(n) for n in RULES} | TABLES_SQL

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from boardroll.catalog.derived import PARAMS, Derived
 from boardroll.plans import staff_list, students
 from boardroll.plans.board import Board
-from boardroll.plans.checks import check_table
-from boardroll.sources import Staging, code_labels
+from boardroll.plans.checks import CHECKS, check_table
+from boardroll.sources import SOURCES, Kept, code_labels, project
 
 # Which derived input stands for which source, contract or seed of the jobs.
 INPUTS = {
@@ -87,12 +87,33 @@ ADAPTED = "ordre_ens = '3' AND grp_rep NOT IN ('G1') AND classe IN ('A', 'B', 'C
 
 
 class DerivedInputs(Mapping[str, DataFrame]):
-    """The derived inputs under the names the jobs ask for."""
+    """The derived inputs under the names the jobs ask for.
+
+    What stands for a source table is first given the table's upstream column names, and
+    then read as that source would be: projected, renamed and typed.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._derived = Derived(spark, folder)
 
+    def upstream(self, name: str) -> DataFrame:
+        """A source table as its database would hold it; columns not derived are null."""
+        table, taken = self._derived[INPUTS[name]], {}
+        for column in SOURCES[name].columns:
+            if column.name in table.columns:
+                taken[column.upstream] = F.col(column.name)
+            else:
+                taken.setdefault(column.upstream, F.lit(None))
+        return table.select(*[value.alias(upstream) for upstream, value in taken.items()])
+
+    def held(self, name: str) -> list[str]:
+        """The declared columns of a source table that are derived here."""
+        derived = self._derived[INPUTS[name]].columns
+        return [c.name for c in SOURCES[name].columns if c.name in derived]
+
     def __getitem__(self, name: str) -> DataFrame:
+        if name in SOURCES:
+            return project(self.upstream(name), SOURCES[name])
         return self._derived[INPUTS[name]]
 
     def __iter__(self):
@@ -150,34 +171,45 @@ CHOSEN: dict[str, Callable[[Board], DataFrame]] = {
     "staff_slicers": lambda b: _staff_slicers(b.inputs[STAFF]),
 }
 
-# Tables whose declared checks are registered as queries of their own.
-CHECKED = (
-    "adult_students",
-    "main_job_yearly",
-    "activity_yearly",
-    "retirements",
-    "retirement_curve",
-    "teacher_qualifications",
-    "account_splits",
-    "manager_schools",
-    "workplaces",
-)
-
-
 def _checked(name: str) -> Callable[[Board], DataFrame]:
     return lambda board: check_table(name, board.shared(name))
 
 
+TABLES = [name for name, member in vars(Board).items() if isinstance(member, cached_property)]
+CHECKED = [name for name in CHECKS if name in TABLES]
+"""Tables whose declared checks are registered, each as a query of its own."""
+
 CHOSEN |= {f"checks_of_{name}": _checked(name) for name in CHECKED}
 
-TABLES = [name for name, member in vars(Board).items() if isinstance(member, cached_property)]
+DATABASES = sorted({source.database for source in SOURCES.values()})
+
+
+def _profile(database: str) -> Callable[[Board], DataFrame]:
+    """Filled values per column of a database's inputs, as read under their upstream names."""
+
+    def profile(board: Board) -> DataFrame:
+        parts = []
+        for name in [n for n in INPUTS if n in SOURCES and SOURCES[n].database == database]:
+            table = board.inputs[name].select(*board.inputs.held(name))
+            counted = table.agg(*[F.count(c).alias(c) for c in table.columns])
+            names = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_values")) for c in table.columns])
+            parts.append(counted.select(F.lit(name).alias("input"), F.inline(names)))
+        profiled = parts[0]
+        for part in parts[1:]:
+            profiled = profiled.unionByName(part)
+        return profiled
+
+    return profile
+
+
+CHOSEN |= {f"sources_of_{database}": _profile(database) for database in DATABASES}
 PLANS = [*TABLES, *CHOSEN]
 
 
 def plan_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def run(name: str) -> Callable[[SparkSession, str], DataFrame]:
         def query(spark: SparkSession, folder: str) -> DataFrame:
-            board = Board(DerivedInputs(spark, folder), PARAMS, Staging(spark).save)
+            board = Board(DerivedInputs(spark, folder), PARAMS, Kept().save)
             table = CHOSEN[name](board) if name in CHOSEN else getattr(board, name)
             return comparable(table)
 

@@ -7,7 +7,7 @@ chunks with a carried-in seed row (``scan``).
 """
 
 from boardroll.operators.allocation import allocate
-from boardroll.operators.cubes import labelled_cube, row_cube
+from boardroll.operators.cubes import UNKNOWN, labelled_cube, row_cube
 from boardroll.operators.filling import dense_days, fill_missing
 from boardroll.operators.flags import resolve_flag
 from boardroll.operators.headcount import headcount
@@ -21,7 +21,7 @@ from boardroll.operators.intervals import (
 )
 from boardroll.operators.islands import island_ids, merge_intervals
 from boardroll.operators.latest import latest
-from boardroll.operators.lookup import decode
+from boardroll.operators.lookup import decode, not_in
 from boardroll.operators.quality import (
     duplicate_keys,
     null_rows,
@@ -33,6 +33,7 @@ from boardroll.operators.scan import carry_forward, previous_value, running_sum
 from boardroll.operators.survival import forecast_exits, survival_curve
 
 __all__ = [
+    "UNKNOWN",
     "Buckets",
     "allocate",
     "carry_forward",
@@ -49,6 +50,7 @@ __all__ = [
     "labelled_cube",
     "latest",
     "merge_intervals",
+    "not_in",
     "null_rows",
     "outside_range",
     "overlap_join",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardroll.functions import ratio
@@ -18,7 +18,6 @@ def allocate(
     total: str,
     keep_zero: Column,
     name: str = "allocated",
-    small_lines: bool = False,
 ) -> DataFrame:
     """Share ``quantity`` of each line over its parts, in proportion ``part / total``.
 
@@ -27,18 +26,12 @@ def allocate(
     total, or a zero total, takes the whole quantity.
 
     Only kept zero parts are counted, which are few, and the counts joined back, so no
-    line is gathered in one window. ``small_lines`` says that a line has a bounded number
-    of parts (say, one per account): then a window counts and ``df`` is evaluated once.
+    line is gathered in one window.
     """
     rows = df.withColumn("_keep", F.coalesce(keep_zero, F.lit(False)))
     is_zero = F.col("_keep") & (F.col(part) == 0) & (F.col(total) == 0)
-    if small_lines:
-        counted = rows.withColumn(
-            "_n_zero", F.count_if(is_zero).over(Window.partitionBy(*line))
-        )
-    else:
-        zero_parts = rows.filter(is_zero).groupBy(*line).agg(F.count(F.lit(1)).alias("_n_zero"))
-        counted = rows.join(zero_parts, list(line), "left")
+    zero_parts = rows.filter(is_zero).groupBy(*line).agg(F.count(F.lit(1)).alias("_n_zero"))
+    counted = rows.join(zero_parts, list(line), "left")
     # Amounts are compared as they are but divided as doubles, whose scale is not fixed.
     whole, share = F.col(quantity).cast("double"), F.col(part).cast("double")
     given = (

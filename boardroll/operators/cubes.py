@@ -9,22 +9,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+UNKNOWN = "inconnu"
+
+
 def labelled_cube(
     df: DataFrame,
     fixed: Sequence[str],
     totals: Mapping[str, str | None],
     sums: Mapping[str, Column],
+    unknown: str = UNKNOWN,
 ) -> DataFrame:
     """Sums for every subset of the dimensions in ``totals``, within the fixed columns.
 
     ``totals`` maps a dimension to the label of its total row (None leaves it null). A
-    null dimension value takes that label too, as it does in the reports.
+    null dimension value is labelled ``unknown`` before the cube, so that a null in the
+    cube is always a total and never mistaken for a value.
 
     Rows are first summed to the finest grain, so CUBE multiplies that small result by
     2^n and not the input. Only additive measures are taken; build means from two sums.
     """
     dims = list(totals)
-    base = df.groupBy(*fixed, *dims).agg(*[c.alias(name) for name, c in sums.items()])
+    known = df.withColumns({d: F.coalesce(F.col(d), F.lit(unknown)) for d in dims})
+    base = known.groupBy(*fixed, *dims).agg(*[c.alias(name) for name, c in sums.items()])
     sets = [
         [F.col(c) for c in (*fixed, *kept)]
         for size in range(len(dims), -1, -1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,7 +15,6 @@ def resolve_flag(
     known: Column,
     preferred: Column,
     name: str = "is_main",
-    small_groups: bool = False,
 ) -> DataFrame:
     """Flag (0/1) the main rows of each group; the first rule that applies decides.
 
@@ -23,9 +22,7 @@ def resolve_flag(
     ``preferred`` is 1; 4. the highest ``ref``.
 
     All four rules read one aggregate per group, which is combined before the shuffle and
-    joined back, so a hot group is never gathered in one window. ``small_groups`` says
-    that a group is bounded (say, one person's jobs of one year): then the aggregate is
-    taken over a window and ``df`` is evaluated once.
+    joined back, so a hot group is never gathered in one window.
     """
     rows = df.withColumns(
         {"_known": F.coalesce(known, F.lit(0)), "_preferred": F.coalesce(preferred, F.lit(0))}
@@ -36,12 +33,8 @@ def resolve_flag(
         "_low": F.min(ref),
         "_high": F.max(ref),
     }
-    if small_groups:
-        group = Window.partitionBy(*keys)
-        judged = rows.withColumns({fact: agg.over(group) for fact, agg in facts.items()})
-    else:
-        groups = rows.groupBy(*keys).agg(*[agg.alias(fact) for fact, agg in facts.items()])
-        judged = rows.join(groups, list(keys))
+    groups = rows.groupBy(*keys).agg(*[agg.alias(fact) for fact, agg in facts.items()])
+    judged = rows.join(groups, list(keys))
     flag = (
         F.when(F.col("_any_known") == 1, F.col("_known"))
         .when(F.col("_low") == F.col("_high"), 1)

@@ -25,3 +25,19 @@ def decode(
         F.col(code).alias("_code"), F.col(label).alias(name)
     )
     return df.join(chosen, F.col(column) == F.col("_code"), "left").drop("_code")
+
+
+def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
+    """Rows for which ``column NOT IN (listed)`` is true in SQL's three-valued logic.
+
+    A null in the list leaves no row, and a null ``column`` passes only an empty list.
+    Both are read from one small aggregate of the list; the values themselves take a plain
+    anti join, which needs no broadcast, unlike the null-aware join of a literal NOT IN.
+    """
+    value = F.col(listed_column)
+    facts = listed.agg(
+        F.struct(F.count(F.lit(1)).alias("all"), F.count_if(value.isNull()).alias("nulls"))
+    ).scalar()
+    passes = (facts["all"] == 0) | ((facts["nulls"] == 0) & F.col(column).isNotNull())
+    keys = listed.select(value.alias("_listed")).distinct()
+    return df.join(keys, F.col(column) == F.col("_listed"), "left_anti").filter(passes)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardroll.functions import band, concat_blank, ratio, surrogate_key
-from boardroll.operators import labelled_cube, latest
+from boardroll.operators import UNKNOWN, labelled_cube, latest
 from boardroll.params import Params
 from boardroll.plans.absences import (
     NO_GROUP,
@@ -36,12 +36,27 @@ def filter_key() -> Column:
     ).alias("filter_key")
 
 
+def _rates(cells: DataFrame, fixed: list[str], dims: list[str], name: str) -> DataFrame:
+    """Rate weighted by pupils for every subset of ``dims``, totals labelled."""
+    cube = labelled_cube(
+        cells,
+        fixed,
+        {dim: TOTALS[dim] for dim in dims},
+        {
+            "weighted": F.sum(F.col("absence_rate") * F.col("n_students_daily")),
+            "weight": F.sum("n_students_daily"),
+        },
+    )
+    return cube.select(*fixed, *dims, ratio("weighted", "weight").alias(name))
+
+
 def daily_rate_report(metrics: DataFrame) -> DataFrame:
     """Daily rate per filter, with board, school and weekday means beside it.
 
-    The board and school means are taken over the cube's rows, its totals included. They
-    and the weekday mean are sums of the same cube, so it is computed once and read
-    through windows whose groups hold at most one row per day and filter.
+    Each mean is a small cube of its own over the day's cells, combined before its shuffle
+    and joined back, so nothing is gathered in a window. A mean over the report's rows,
+    totals included, counts every cell equally often; it therefore equals the mean over
+    the cells themselves, which is what is computed.
     """
     grain = ["annee", "school_friendly_name", "groupe", "etape_friendly"]
     per_day = metrics.groupBy(*grain, "date_evenement", "jour_semaine", "event_kind").agg(
@@ -59,21 +74,14 @@ def daily_rate_report(metrics: DataFrame) -> DataFrame:
             "weighted": F.sum(F.col("absence_rate") * F.col("n_students_daily")),
         },
     )
-
-    def mean_over(*keys: str) -> Column:
-        window = Window.partitionBy(*keys)
-        return ratio(F.sum("weighted").over(window), F.sum("n_students_daily").over(window))
-
-    school = ("annee", "school_friendly_name", "etape_friendly", "event_kind")
-    # The text key is added after the windows, so that it is not shuffled with the rows.
-    means = cube.withColumns(
-        {
-            "absence_rate_css": mean_over("annee", "date_evenement", "etape_friendly", "event_kind"),
-            "avg_absence_rate_school": mean_over(*school),
-            "avg_absence_rate_jour": mean_over(*school, "groupe", "jour_semaine"),
-        }
-    )
-    return means.select(
+    means = [
+        (["annee", "date_evenement", "event_kind"], ["etape_friendly"], "absence_rate_css"),
+        (["annee", "event_kind"], ["school_friendly_name", "etape_friendly"], "avg_absence_rate_school"),
+        (["annee", "jour_semaine", "event_kind"], list(TOTALS), "avg_absence_rate_jour"),
+    ]
+    for fixed, dims, name in means:
+        cube = cube.join(_rates(per_day, fixed, dims, name), [*fixed, *dims], "left")
+    return cube.select(
         filter_key(),
         "jour_semaine",
         "date_evenement",
@@ -88,26 +96,20 @@ def daily_rate_report(metrics: DataFrame) -> DataFrame:
 
 def term_rate_report(metrics: DataFrame) -> DataFrame:
     """Rate per term and filter, beside the board's rate and the school's yearly rate."""
-    cube = labelled_cube(
-        metrics,
-        ["annee", "etape_friendly", "event_kind"],
-        {"school_friendly_name": ALL_SCHOOLS, "groupe": ALL},
-        {
-            "weighted": F.sum(F.col("absence_rate") * F.col("n_students_daily")),
-            "weight": F.sum("n_students_daily"),
-        },
-    ).withColumn("rate", ratio("weighted", "weight"))
-    is_board = (F.col("school_friendly_name") == ALL_SCHOOLS) & (F.col("groupe") == ALL)
-    same_term = Window.partitionBy("annee", "etape_friendly", "event_kind")
-    same_school = Window.partitionBy("annee", "school_friendly_name", "groupe", "event_kind")
-    return cube.select(
-        filter_key(),
-        "etape_friendly",
-        F.col("rate").alias("avg_absence_rate_etape"),
-        F.max(F.when(is_board, F.col("rate"))).over(same_term).alias("avg_absence_rate_etape_css"),
-        ratio(F.sum("weighted").over(same_school), F.sum("weight").over(same_school)).alias(
-            "avg_absence_rate_school"
-        ),
+    term, filters = ["annee", "etape_friendly", "event_kind"], ["school_friendly_name", "groupe"]
+    rates = _rates(metrics, term, filters, "avg_absence_rate_etape")
+    board = _rates(metrics, term, [], "avg_absence_rate_etape_css")
+    yearly = _rates(metrics, ["annee", "event_kind"], filters, "avg_absence_rate_school")
+    return (
+        rates.join(board, term, "left")
+        .join(yearly, ["annee", "event_kind", *filters], "left")
+        .select(
+            filter_key(),
+            "etape_friendly",
+            "avg_absence_rate_etape",
+            "avg_absence_rate_etape_css",
+            "avg_absence_rate_school",
+        )
     )
 
 
@@ -158,17 +160,18 @@ def subject_distribution_report(
 ) -> DataFrame:
     """Number of absences per day and subject, for every filter.
 
-    A subject is described, and kept, by the school with the highest id of the year.
+    A subject bears, in all schools, the description that the school with the highest id
+    of the year gives it.
     """
     described = latest(
         subject_names.join(schools.select("id_eco", "annee"), "id_eco"),
         ["annee", "mat"],
         F.col("id_eco").desc(),
         F.col("description_abreg"),
-    ).select("id_eco", F.col("mat").alias("code_matiere"), "description_abreg")
+    ).select("annee", F.col("mat").alias("code_matiere"), "description_abreg")
     counted = _counted_on_grid(
         daily.filter(F.col("code_matiere") != NO_SUBJECT), grid, schools, "code_matiere", params
-    ).join(described, ["id_eco", "code_matiere"])
+    ).join(described, ["annee", "code_matiere"])
     cube = labelled_cube(
         counted,
         ["annee", "date_evenement", "jour_semaine", "event_kind", "code_matiere", "description_abreg"],
@@ -197,7 +200,10 @@ def absence_filters_report(metrics: DataFrame, schools: DataFrame) -> DataFrame:
     return (
         cube.join(named, ["eco", "annee"], "left")
         .withColumn(
-            "school_friendly_name", F.coalesce("school_friendly_name", F.lit(ALL_SCHOOLS))
+            "school_friendly_name",
+            F.when(F.col("eco").isNull(), F.lit(ALL_SCHOOLS)).otherwise(
+                F.coalesce("school_friendly_name", F.lit(UNKNOWN))
+            ),
         )
         .select(
             "annee",

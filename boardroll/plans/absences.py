@@ -61,10 +61,12 @@ def absence_reasons(reasons: DataFrame) -> DataFrame:
 
 
 def expected_periods(calendar: DataFrame, params: Params) -> DataFrame:
-    """Periods held on each working day of a school's grid."""
+    """Periods held on each working day of a school's grid; all period columns are needed."""
     periods = [f"per_{i:02d}" for i in range(1, params.max_periods + 1)]
-    present = [c for c in periods if c in calendar.columns]
-    held = [F.bool_or(F.col(c).isNotNull()).cast("int") for c in present]
+    missing = [c for c in periods if c not in calendar.columns]
+    if missing:
+        raise ValueError(f"the calendar lacks the period columns {', '.join(missing)}")
+    held = [F.bool_or(F.col(c).isNotNull()).cast("int") for c in periods]
     return (
         calendar.filter(F.col("jour_cycle").isNotNull())
         .groupBy("id_eco", F.col("date_evenement").alias("date_abs"), "grille")

@@ -116,7 +116,6 @@ def activity_yearly(
         known=F.col("logged"),
         preferred=F.col("current"),
         name="is_main_job",
-        small_groups=True,
     )
     return flagged.select(
         *job, "corp_empl", "etat_empl", "lieu_trav", "stat_eng", "is_main_job"

@@ -240,7 +240,6 @@ def paid_hours_by_account(
         total="mnt_tot",
         keep_zero=F.col("kept"),
         name="nb_hre_remun_dist",
-        small_lines=True,
     ).drop("kept", "hours", "mnt_tot")
     grain = [c for c in shared.columns if c not in ("nb_hre_remun_dist", "mnt_dist")]
     return (

@@ -61,8 +61,7 @@ def survival_curve(files: DataFrame, retired: DataFrame) -> DataFrame:
 
 
 def _not_retired(current: DataFrame, retired: DataFrame) -> DataFrame:
-    """``retired.matr`` is never null, so an anti join is the same as NOT IN."""
-    return current.join(retired.select("matr"), "matr", "left_anti")
+    return operators.not_in(current, "matr", retired, "matr")
 
 
 def _job_category(job_groups: DataFrame) -> DataFrame:

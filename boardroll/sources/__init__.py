@@ -1,15 +1,19 @@
 """Typed inputs (source tables and seeds) and the layout of written tables."""
 
+from boardroll.sources.inputs import Sources
 from boardroll.sources.readers import jdbc_tables, parquet_tables, saved_tables
-from boardroll.sources.registry import CONTRACTS, SEEDS, SOURCES, Source, Sources, project
+from boardroll.sources.registry import CONTRACTS, SEEDS, SOURCES, Source, project
 from boardroll.sources.seeds import code_labels, flag_codes, read_seed
-from boardroll.sources.staging import Staging, shared_folder
-from boardroll.sources.sinks import last_runs, layout_of, stamp, write_table
+from boardroll.sources.sinks import LAYOUTS, Layout, last_runs, layout_of, stamp, write_table
+from boardroll.sources.staging import Kept, Staging
 
 __all__ = [
     "CONTRACTS",
+    "LAYOUTS",
     "SEEDS",
     "SOURCES",
+    "Kept",
+    "Layout",
     "Source",
     "Sources",
     "Staging",
@@ -22,7 +26,6 @@ __all__ = [
     "project",
     "read_seed",
     "saved_tables",
-    "shared_folder",
     "stamp",
     "write_table",
 ]

@@ -18,29 +18,29 @@ class Layout:
 
 
 # The columns each table is looked up by.
-_LAYOUTS = {
-    "fact_absences_daily": Layout(("school_year",), ("id_eco", "fiche")),
-    "fact_absences_sequence": Layout(("school_year",), ("id_eco", "fiche")),
-    "dim_absences_inclusion": Layout((), ("id_eco", "motif_abs")),
+LAYOUTS = {
+    "absences_daily": Layout(("school_year",), ("id_eco", "fiche")),
+    "absence_sequences": Layout(("school_year",), ("id_eco", "fiche")),
+    "absence_reasons": Layout((), ("id_eco", "motif_abs")),
     "daily_students": Layout((), ("id_eco", "grille", "date_evenement")),
     "daily_grid": Layout((), ("id_eco", "grille", "date_evenement")),
     "daily_metrics": Layout(("annee",), ("school_friendly_name", "date_evenement")),
-    "dim_eleve_adultes": Layout((), ("code_perm",)),
-    "fact_freq_adultes": Layout(("annee",), ("code_perm", "fiche", "freq")),
-    "fact_activity_yearly": Layout(("school_year",), ("matr", "ref_empl")),
-    "fact_main_job_yearly": Layout(("school_year",), ("matr",)),
-    "fact_activity_current": Layout((), ("matr",)),
-    "fact_retirement": Layout((), ("matr", "corp_empl", "lieu_trav", "stat_eng")),
-    "fact_retirement_forecasts": Layout((), ("school_year",)),
-    "survival_curve": Layout((), ("age",)),
-    "fact_endb_liste": Layout((), ("matr", "workplace", "etat_empl")),
-    "pbi_endb_rapport": Layout((), ("matricule", "lieu_principal")),
-    "fact_h_remun": Layout(("annee",), ("matr", "no_cheq")),
+    "adult_students": Layout((), ("code_perm",)),
+    "adult_enrolments": Layout(("annee",), ("code_perm", "fiche", "freq")),
+    "activity_yearly": Layout(("school_year",), ("matr", "ref_empl")),
+    "main_job_yearly": Layout(("school_year",), ("matr",)),
+    "activity_current": Layout((), ("matr",)),
+    "retirements": Layout((), ("matr", "corp_empl", "lieu_trav", "stat_eng")),
+    "retirement_forecasts": Layout((), ("school_year",)),
+    "retirement_curve": Layout((), ("age",)),
+    "teacher_qualifications": Layout((), ("matr", "workplace", "etat_empl")),
+    "qualification_report": Layout((), ("matricule", "lieu_principal")),
+    "paid_hours_by_account": Layout(("annee",), ("matr", "no_cheq")),
 }
 
 
 def layout_of(name: str) -> Layout:
-    return _LAYOUTS.get(name, Layout())
+    return LAYOUTS.get(name, Layout())
 
 
 def write_table(df: DataFrame, root: str, name: str, layout: Layout | None = None) -> DataFrame:

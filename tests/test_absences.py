@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from boardroll.operators import duplicate_keys
@@ -27,7 +28,7 @@ def calendar(frame):
     def day(text, cycle="J", *periods):
         return (10, text, "A", cycle, *periods)
 
-    return frame(
+    short = frame(
         "id_eco int, date_evenement date, grille string, jour_cycle string, per_01 int, per_02 int, per_20 int",
         day("2021-03-04", "J", 1, 1, 1),
         day("2021-03-05", "J", 1, 1, 1),
@@ -37,6 +38,17 @@ def calendar(frame):
         day("2021-03-09", "J", None, None, None),
         day("2021-03-10", "J", 1, 1, 1),
     )
+    return with_all_periods(short)
+
+
+def with_all_periods(df):
+    absent = [f"per_{i:02d}" for i in range(1, 21) if f"per_{i:02d}" not in df.columns]
+    return df.withColumns({c: F.lit(None).cast("int") for c in absent})
+
+
+def test_a_calendar_without_a_period_column_is_refused(calendar):
+    with pytest.raises(ValueError, match="per_07, per_13"):
+        absences.expected_periods(calendar.drop("per_07", "per_13"), PARAMS)
 
 
 @pytest.fixture
@@ -131,7 +143,7 @@ def test_grid_padding_and_metrics(frame, daily, calendar, students):
         "id_eco int, date_evenement date, grille string, jour_cycle string, per_01 int, per_02 int, per_20 int",
         (10, "2020-08-30", "A", "J", 1, 1, 1), (10, "2020-10-05", "A", "J", 1, 1, 1), (10, "2021-02-01", "A", "J", 1, 1, 1),
     )
-    days = start.unionByName(calendar)
+    days = with_all_periods(start).unionByName(calendar)
     grid = absences.daily_grid(days, daily, students, PARAMS)
     second = grid.filter("etape = 2 AND groupe = '101'")
     # Carried forward from August, and only inside the term.

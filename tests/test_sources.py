@@ -3,11 +3,14 @@ from datetime import datetime
 import pytest
 from conftest import rows
 
+from boardroll.plans.checks import CHECKS
 from boardroll.sources import (
     CONTRACTS,
+    LAYOUTS,
     SEEDS,
     SOURCES,
     Sources,
+    Kept,
     Staging,
     code_labels,
     flag_codes,
@@ -16,7 +19,6 @@ from boardroll.sources import (
     project,
     read_seed,
     saved_tables,
-    shared_folder,
     stamp,
     write_table,
 )
@@ -45,8 +47,8 @@ def test_sources_read_and_override(spark, frame, tmp_path):
     frame("code_pmnt string, descr string", ("1", "x")).write.parquet(f"{tmp_path}/pai_tab_pmnt.parquet")
     mine = frame("code_pmnt string, descr string", ("2", "y"))
     readers = {"paie": parquet_tables(spark, str(tmp_path))}
-    assert rows(Sources(readers)["i_pai_tab_pmnt"]) == [("1", "x")]
-    assert rows(Sources(readers, {"i_pai_tab_pmnt": mine})["i_pai_tab_pmnt"]) == [("2", "y")]
+    assert rows(Sources(spark, readers)["i_pai_tab_pmnt"]) == [("1", "x")]
+    assert rows(Sources(spark, readers, overrides={"i_pai_tab_pmnt": mine})["i_pai_tab_pmnt"]) == [("2", "y")]
     mine.createOrReplaceTempView("pai_tab_pmnt")
     assert spark.catalog.currentDatabase() == "default"
     assert saved_tables(spark, "default") is not None
@@ -81,8 +83,61 @@ def test_freshness(spark, tmp_path):
     assert rows(last_runs(spark, str(tmp_path))) == [("absences", "2021-01-02T03:00:00")]
 
 
-def test_staging_uses_one_folder_per_run(spark, frame):
+def test_sources_resolve_contracts_and_seeds(spark, frame, tmp_path):
+    frame("id_eco int, annee string, eco string, more int", (1, "2020", "001", 5)).write.parquet(f"{tmp_path}/i_gpm_t_eco.parquet")
+    (tmp_path / "s.csv").write_text("lieu_trav,secteur_Id,secteur_Descr,ordre_Ens\n001,1,Nord,4\n", encoding="utf-8")
+    inputs = Sources(spark, {}, parquet_tables(spark, str(tmp_path)), {"secteur": str(tmp_path / "s.csv")})
+    assert rows(inputs["i_gpm_t_eco"]) == [(1, 2020, "001")]
+    assert rows(inputs["secteur"], "lieu_trav", "secteur_Descr") == [("001", "Nord")]
+    assert inputs["adjust_nomen_unit_adm"].isEmpty()  # an optional seed that is not there
+    short = Sources(spark, {}, overrides={"i_gpm_t_eco": frame("id_eco int", (1,))})
+    with pytest.raises(ValueError, match="lacks annee, eco"):
+        short["i_gpm_t_eco"]
+    with pytest.raises(KeyError):
+        short["i_gpm_t_cal"]
+
+
+def test_layouts_name_tables_and_their_columns(spark):
+    from boardroll.catalog.derived import PARAMS
+    from boardroll.catalog.plan_queries import TABLES, DerivedInputs
+    from boardroll.plans.board import Board
+
+    board = Board(DerivedInputs(spark, "/root/testdata/sf0.001"), PARAMS)
+    for name, layout in LAYOUTS.items():
+        assert name in TABLES
+        assert {*layout.partition, *layout.cluster} <= {*getattr(board, name).columns}, name
+
+
+def test_a_run_writes_checks_and_stamps(spark, tmp_path):
+    from boardroll.catalog.derived import PARAMS
+    from boardroll.catalog.plan_queries import DerivedInputs
+    from boardroll.plans.run import ChecksFailed, run_report
+
+    inputs, ended = DerivedInputs(spark, "/root/testdata/sf0.001"), datetime(2021, 1, 1)
+    found = run_report(spark, inputs, PARAMS, str(tmp_path), "hr", ["main_job_yearly", "job_class_names"], ended)
+    assert {r.table for r in found.collect()} == {"main_job_yearly", "job_class_names"} & set(CHECKS)
+    assert (tmp_path / "hr" / "main_job_yearly").is_dir() and list((tmp_path / "hr" / "main_job_yearly").glob("school_year=*"))
+    assert rows(last_runs(spark, str(tmp_path))) == [("hr", "2021-01-01T00:00:00")]
+    twice = {"i_pai_tab_lieu_trav": spark.createDataFrame([("001", "a"), ("001", "b"), (None, "c")], "lieu_trav string, descr string")}
+    with pytest.raises(ChecksFailed):
+        run_report(spark, twice, PARAMS, str(tmp_path), "rls", ["workplaces"], ended)
+    assert last_runs(spark, str(tmp_path)).count() == 1
+
+
+def test_staging_uses_one_folder_per_run(spark, frame, tmp_path):
     df = frame("a int, b string", (1, "x"), (2, None))
-    first, second = Staging(spark), Staging(spark)
+    first, second = Staging(spark, str(tmp_path)), Staging(spark, str(tmp_path))
     assert rows(first.save(df, "t")) == rows(second.save(df.limit(1), "t")) + [(2, None)]
-    assert shared_folder(spark) == shared_folder(spark)
+    first.clear()
+    assert len(list((tmp_path / "boardroll").iterdir())) == 1
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(ValueError, match="name a folder"):
+            Staging(spark)
+
+
+def test_kept_tables_are_let_go(spark, frame):
+    kept = Kept()
+    table = kept.save(frame("a int", (1,)), "t")
+    assert table.count() == 1 and table.is_cached
+    kept.clear()
+    assert not table.is_cached
