@@ -438,7 +438,7 @@ def window_distinct(t: Tables) -> DataFrame:
 def lag_change_flag(t: Tables) -> DataFrame:
     """Whether an event is of the type of the user's event before it."""
     before = op.previous_value(
-        _events(t), ["user_id"], ["ts", "event_id"], F.col("event_type"), F.col("day"), "before"
+        _events(t), ["user_id"], ["ts", "event_id"], F.col("event_type"), "before"
     )
     same = F.coalesce(F.col("before") == F.col("event_type"), F.lit(False)).cast("int")
     return before.select("event_id", "user_id", "before", same.alias("repeats"))
@@ -461,7 +461,6 @@ def running_sum(t: Tables) -> DataFrame:
         ["event_type"],
         ["ts", "event_id"],
         F.col("value"),
-        F.date_trunc("hour", "ts"),
         "running_value",
     )
     return summed.select("event_id", "event_type", F.round("running_value", 2).alias("running_value"))
@@ -475,7 +474,6 @@ def sum_preceding(t: Tables) -> DataFrame:
         ["o_orderpriority"],
         ["day", "o_orderkey"],
         F.lit(1),
-        F.trunc("day", "month"),
         "n_before",
         include_current=False,
     )
@@ -560,7 +558,7 @@ def forward_fill(t: Tables) -> DataFrame:
     bounds = daily.groupBy("user_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
     grid = op.dense_days(bounds, F.col("first"), F.col("last")).select("user_id", "day")
     filled = grid.join(daily, ["user_id", "day"], "left")
-    return op.carry_forward(filled, ["user_id"], ["day"], "value")
+    return op.carry_forward(filled, ["user_id"], ["day"], "value", chunk_rows=None)
 
 
 @operator_query
@@ -573,7 +571,7 @@ def forward_fill_hot_keys(t: Tables) -> DataFrame:
         }
     )
     filled = op.carry_forward(
-        events, ["bucket"], ["ts", "event_id"], "paid", F.date_trunc("hour", "ts"), "last_paid"
+        events, ["bucket"], ["ts", "event_id"], "paid", "last_paid"
     )
     return filled.select("event_id", "bucket", "last_paid")
 
@@ -724,8 +722,8 @@ def running_experience(t: Tables) -> DataFrame:
         ["o_custkey"],
         ["start"],
         F.datediff("end", "start"),
-        F.year("start"),
         "running_days",
+        chunk_rows=None,  # merging leaves a customer at most one interval per day
     ).select("o_custkey", "start", "end", "running_days")
 
 

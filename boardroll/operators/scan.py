@@ -3,11 +3,19 @@
 A plain window puts all rows of a key in one task. Here each key is cut into chunks along
 its order. A small aggregate works out what flows into every chunk, and that value enters
 the window as a *seed row* that sorts before the chunk's own rows. The rows are shuffled
-once, by (key, chunk), and no join back is needed.
-
-``chunk`` must not decrease along the order, for instance the month of the ordering date.
-The input is read twice (rows and seeds): save it first if it is costly to compute.
-``order`` must not tie, or the result is as undefined as that of a plain window.
+by (key, chunk), and no join back is needed.
+
+Chunks follow the data: the range of a key's first order column is divided into ``CELLS``
+equal cells, the rows of each cell are counted, and neighbouring cells are joined into
+chunks of about ``chunk_rows`` rows. The more rows a key has, the more chunks it gets; all
+steps are exact aggregates, so every evaluation cuts alike. Only rows that share a cell,
+such as those of one instant, cannot be parted.
+
+The input is read for the ranges, the counts, the seeds and the rows: save it first if it
+is costly to compute. ``chunk_rows=None`` takes one window per key; use that only where the
+operator before bounds a key's rows, as a calendar does. ``order`` must not tie, or the
+result is as undefined as that of a plain window; its first column is a date, a timestamp
+or a number.
 """
 
 from __future__ import annotations
@@ -16,6 +24,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CELLS = 1 << 16
+CHUNK_ROWS = 200_000
+
+
+def _position(df: DataFrame, column: str) -> Column:
+    """The order column as a number."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    raise TypeError(f"cannot cut chunks along {column}, a {kind.simpleString()}")
+
+
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join in which null keys match, with the key columns of the left side."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return left.join(right, same).drop(*[f"_r_{c}" for c in on])
+
+
+def chunked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int
+) -> DataFrame:
+    """Adds ``_chunk``, which never decreases along the order of a key."""
+    at = _position(df, order[0])
+    ranges = df.groupBy(*keys).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    part = (at - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    cell = F.when(at.isNull(), -1).when(F.col("_high") > F.col("_low"), F.floor(part * CELLS))
+    placed = (
+        _joined(df, ranges, keys)
+        .withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("long"))
+        .drop("_low", "_high")
+    )
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (
+        placed.groupBy(*keys, "_cell")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_chunk", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / chunk_rows))
+        .drop("_n")
+    )
+    return _joined(placed, chunks, [*keys, "_cell"]).drop("_cell")
 
 
 def _seeded(rows: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -36,12 +90,16 @@ def running_sum(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    chunk: Column,
     name: str = "running_sum",
     include_current: bool = True,
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` over the key's rows up to (or strictly before) each row."""
-    rows = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    if chunk_rows is None:
+        last = Window.currentRow if include_current else -1
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+        return df.withColumn(name, F.sum(value).over(window))
+    rows = chunked(df, keys, order, chunk_rows).withColumn("_value", value)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         rows.groupBy(*keys, "_chunk")
@@ -59,11 +117,13 @@ def previous_value(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    chunk: Column,
     name: str = "previous",
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """``value`` of the key's row just before each row; null on its first row."""
-    rows = df.withColumn("_chunk", chunk).withColumn("_value", value)
+    if chunk_rows is None:
+        return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
+    rows = chunked(df, keys, order, chunk_rows).withColumn("_value", value)
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     seeds = (
         rows.groupBy(*keys, "_chunk")
@@ -80,23 +140,19 @@ def carry_forward(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    chunk: Column | None = None,
     name: str | None = None,
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
-    """Last non-null ``value`` seen at or before each row of the key.
-
-    Without ``chunk`` one window per key is used; leave it out only where a key's rows
-    are bounded, as on a calendar grid.
-    """
+    """Last non-null ``value`` seen at or before each row of the key."""
     name = name or value
-    if chunk is None:
+    if chunk_rows is None:
         frame = (
             Window.partitionBy(*keys)
             .orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return df.withColumn(name, F.last(value, ignorenulls=True).over(frame))
-    rows = df.withColumn("_chunk", chunk).withColumn("_value", F.col(value))
+    rows = chunked(df, keys, order, chunk_rows).withColumn("_value", F.col(value))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.when(F.col("_value").isNotNull(), F.struct(*order))
     seeds = (

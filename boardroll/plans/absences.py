@@ -290,7 +290,7 @@ def daily_grid(
     known = students.select(*key, "date_evenement", "n_students_daily")
     grid = days.join(cells, ["id_eco", "grille"]).join(known, [*key, "date_evenement"], "left")
     return (
-        carry_forward(grid, key, ["date_evenement"], "n_students_daily")
+        carry_forward(grid, key, ["date_evenement"], "n_students_daily", chunk_rows=None)
         .filter(F.col("date_evenement").between(F.col("etape_date_debut"), F.col("etape_date_fin")))
         .withColumn("jour_semaine", french_weekday("date_evenement"))
     )

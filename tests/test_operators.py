@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from boardroll import operators as op
+from boardroll.operators.scan import chunked
 
 
 def test_latest_takes_one_row_per_key_and_limits_before_the_shuffle(frame):
@@ -77,13 +78,12 @@ def _by_key(data):
 def test_scans_equal_a_plain_loop_on_a_hot_key(frame, seed):
     data = _random_rows(seed)
     df = frame("k string, d date, i int, v int", *data)
-    month = F.trunc("d", "month")
-    order = ["d", "i"]
-    total = op.running_sum(df, ["k"], order, F.coalesce("v", F.lit(0)), month, "x")
-    before = op.running_sum(df, ["k"], order, F.lit(1), month, "x", include_current=False)
-    previous = op.previous_value(df, ["k"], order, F.col("v"), month, "x")
-    filled = op.carry_forward(df, ["k"], order, "v", month, "x")
-    whole = op.carry_forward(df, ["k"], order, "v", name="x")
+    order, cut = ["d", "i"], {"chunk_rows": 20}
+    total = op.running_sum(df, ["k"], order, F.coalesce("v", F.lit(0)), "x", **cut)
+    before = op.running_sum(df, ["k"], order, F.lit(1), "x", include_current=False, **cut)
+    previous = op.previous_value(df, ["k"], order, F.col("v"), "x", **cut)
+    filled = op.carry_forward(df, ["k"], order, "v", "x", **cut)
+    whole = op.carry_forward(df, ["k"], order, "v", "x", chunk_rows=None)
     expect = {"total": {}, "before": {}, "previous": {}, "filled": {}}
     for group in _by_key(data):
         running, last, prior = 0, None, None
@@ -255,3 +255,18 @@ def test_not_in_has_the_nulls_of_sql(spark, frame):
     assert rows(op.not_in(df, "k", some, "v")) == [(1,)]
     assert rows(op.not_in(df, "k", some.unionByName(frame("v int", (None,))), "v")) == []
     assert rows(op.not_in(df, "k", some.filter("false"), "v")) == [(1,), (2,), (None,)]
+
+
+def test_chunks_follow_the_rows_of_a_hot_key(frame):
+    """A key with all rows, most of them in a short time, is cut evenly; null keys too."""
+    days = [(date(2020, 1, 1) + timedelta(k % 30 if k < 1800 else k)).isoformat() for k in range(2000)]
+    df = frame("k string, d date, i int", *[(None if k % 50 == 0 else "a", d, k) for k, d in enumerate(days)])
+    cut = chunked(df, ["k"], ["d", "i"], 100)
+    sizes = {(r.k, r._chunk): r["count"] for r in cut.groupBy("k", "_chunk").count().collect()}
+    most_of_a_day = 60
+    assert sum(sizes.values()) == 2000 and max(sizes.values()) <= 100 + most_of_a_day
+    assert len([1 for k, _ in sizes if k == "a"]) > 10
+    ordered = sorted((r.d, r._chunk) for r in cut.filter("k = 'a'").collect())
+    assert [c for _, c in ordered] == sorted(c for _, c in ordered)
+    with pytest.raises(TypeError):
+        chunked(df, ["d"], ["k"], 100)
