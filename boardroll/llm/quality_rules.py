@@ -37,6 +37,7 @@ _WINDOW = 8  # a power of two: window hashes are joined from halves
 P = 4
 FLOORS = (0.25, 0.25, 0.5, 0.05)
 """Standard deviations that the scatter has at least, per part of the vector."""
+SALTS = 32
 CHI_MEDIAN = 3.3567
 """Median of a chi-square with four degrees of freedom."""
 CUTOFF = 100.0
@@ -145,8 +146,21 @@ def _diagonal(middles: list[Column], spreads: list[Column]) -> list[Column]:
     return means + cells
 
 
+def _beside(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Each vector beside its group's estimates.
+
+    Both sides also meet on ``salt``, which deals a large group over ``SALTS`` tasks; the
+    aggregates above then combine within tasks before their own shuffle.
+    """
+    salted = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return vectors.join(salted, ["grp", "salt"])
+
+
 def estimate(vectors: DataFrame, core: float = 0.75, steps: int = 3) -> DataFrame:
-    """Robust location m*, Cholesky factor l* and median distance per ``grp``."""
+    """Robust location m*, Cholesky factor l* and median distance per ``grp``.
+
+    ``vectors`` has grp, x0 to x3, and a salt from 0 to ``SALTS - 1`` dealt at random.
+    """
     names = [f"x{j}" for j in range(P)]
     quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(f"q{j}") for j, n in enumerate(names)]
     spread = [F.avg(n).alias(f"a{j}") for j, n in enumerate(names)] + [
@@ -162,15 +176,15 @@ def estimate(vectors: DataFrame, core: float = 0.75, steps: int = 3) -> DataFram
     )
     now = stage(_factor(now), "estimates")
     for _ in range(steps):
-        near = vectors.join(now, "grp").select("grp", "start", *names, _distance().alias("d2"))
+        near = _beside(vectors, now).select("grp", "start", *names, _distance().alias("d2"))
         limit = near.groupBy("grp", "start").agg(F.percentile_approx("d2", core, 1000).alias("limit"))
         limit = stage(now.join(limit, ["grp", "start"]), "limits")
-        near = vectors.join(limit, "grp").select("grp", "start", "limit", *names, _distance().alias("d2"))
+        near = _beside(vectors, limit).select("grp", "start", "limit", *names, _distance().alias("d2"))
         fresh = near.groupBy("grp", "start").agg(*_moments(names, F.col("d2") <= F.col("limit")))
         now = stage(_factor(fresh), "estimates")
     best = now.groupBy("grp").agg(F.min(F.struct("logdet", "start", *[c for c in now.columns if c[0] in "ml" and c != "logdet"])).alias("best"))
     best = stage(best.select("grp", "best.*").drop("start"), "best")
-    middle = vectors.join(best, "grp").select("grp", _distance().alias("d2"))
+    middle = _beside(vectors, best).select("grp", _distance().alias("d2"))
     middle = middle.groupBy("grp").agg(F.percentile_approx("d2", 0.5, 1000).alias("middle"))
     return stage(best.join(middle, "grp"), "estimates")
 
@@ -191,7 +205,8 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, least: int = 50, core: float
     )
     pooled = names.groupBy("grp").agg(F.sum("rows").alias("pooled")).where(F.col("pooled") >= least)
     names = stage(names.join(pooled, "grp").select("lang", "source", "grp"), "groups")
-    vectors = rows.join(names, ["lang", "source"]).select("grp", *_vector())
+    salt = F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(SALTS)).cast("int").alias("salt")
+    vectors = rows.join(names, ["lang", "source"]).select("grp", salt, *_vector())
     found = estimate(vectors, core, steps)
     named = stage(names.join(found, "grp"), "group-estimates")
     far = _distance() * CHI_MEDIAN / F.greatest(F.col("middle"), F.lit(1.0))

@@ -2,8 +2,8 @@ import collections
 
 import pytest
 from pyspark.sql import functions as F
-from test_packing import check
-from test_simhash import slow_components, slow_fingerprint
+from llm.test_packing import check
+from llm.test_simhash import slow_components, slow_fingerprint
 
 import corpus_pipeline
 from boardroll.llm import packing, quality_gam, simhash, toxicity

@@ -74,6 +74,7 @@ def test_estimate_is_robust(spark):
     bad = rng.normal(size=(1000, 4)) * 0.1 + [30, -30, 30, -30]
     rows = [("g", *map(float, r)) for r in np.concatenate([good, bad])]
     vectors = spark.createDataFrame(rows, "grp string, x0 double, x1 double, x2 double, x3 double").repartition(4)
+    vectors = vectors.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(rules.SALTS)).cast("int"))
     (r,) = rules.estimate(vectors).collect()
     assert [r.m0, r.m1, r.m2, r.m3] == pytest.approx([1, 2, 3, 4], abs=0.15)
     low = np.array([[r[f"l{j}{i}"] if i <= j else 0.0 for i in range(4)] for j in range(4)])
