@@ -377,6 +377,9 @@ _RULES = {
 
 RULES = {name: _sql(text) for name, text in _RULES.items()}
 
+# Derived inputs that several others of a query are made of; each is computed once.
+_SHARED = ("src_visits", "src_lines")
+
 _EACH = re.compile(r"@each\((.*?)\)@")
 
 
@@ -404,5 +407,5 @@ class Derived:
             else:
                 text = _EACH.sub(r"explode(array(\1))", RULES[name])
                 frame = self._spark.sql(text, **{n: self[n] for n in dict.fromkeys(_needs(text))})
-            self._frames[name] = frame
+            self._frames[name] = frame.persist() if name in _SHARED else frame
         return self._frames[name]

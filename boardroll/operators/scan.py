@@ -5,13 +5,13 @@ its order. A small aggregate works out what flows into every chunk, and that val
 the window as a *seed row* that sorts before the chunk's own rows. The rows are shuffled
 by (key, chunk), and no join back is needed.
 
-Chunks follow the data: the range of a key's first order column is divided into ``CELLS``
-equal cells, the rows of each cell are counted, and neighbouring cells are joined into
+Chunks follow the data: the range of the first order column is divided into ``CELLS``
+equal cells, a key's rows are counted per cell, and neighbouring cells are joined into
 chunks of about ``chunk_rows`` rows. The more rows a key has, the more chunks it gets; all
 steps are exact aggregates, so every evaluation cuts alike. Only rows that share a cell,
 such as those of one instant, cannot be parted.
 
-The input is read for the ranges, the counts, the seeds and the rows: save it first if it
+The input is read for the range, the counts, the seeds and the rows: save it first if it
 is costly to compute. ``chunk_rows=None`` takes one window per key; use that only where the
 operator before bounds a key's rows, as a calendar does. ``order`` must not tie, or the
 result is as undefined as that of a plain window; its first column is a date, a timestamp
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CELLS = 1 << 16
+CELLS = 1 << 18
 CHUNK_ROWS = 200_000
 
 
@@ -54,14 +54,10 @@ def chunked(
 ) -> DataFrame:
     """Adds ``_chunk``, which never decreases along the order of a key."""
     at = _position(df, order[0])
-    ranges = df.groupBy(*keys).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
-    part = (at - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    cell = F.when(at.isNull(), -1).when(F.col("_high") > F.col("_low"), F.floor(part * CELLS))
-    placed = (
-        _joined(df, ranges, keys)
-        .withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("long"))
-        .drop("_low", "_high")
-    )
+    ends = df.agg(F.struct(F.min(at).alias("low"), F.max(at).alias("high"))).scalar()
+    part = (at - ends["low"]) / (ends["high"] - ends["low"])
+    cell = F.when(at.isNull(), -1).when(ends["high"] > ends["low"], F.floor(part * CELLS))
+    placed = df.withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("long"))
     before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     chunks = (
         placed.groupBy(*keys, "_cell")

@@ -74,14 +74,16 @@ def daily_rate_report(metrics: DataFrame) -> DataFrame:
             "weighted": F.sum(F.col("absence_rate") * F.col("n_students_daily")),
         },
     )
-    means = [
-        (["annee", "date_evenement", "event_kind"], ["etape_friendly"], "absence_rate_css"),
-        (["annee", "event_kind"], ["school_friendly_name", "etape_friendly"], "avg_absence_rate_school"),
-        (["annee", "jour_semaine", "event_kind"], list(TOTALS), "avg_absence_rate_jour"),
-    ]
-    for fixed, dims, name in means:
-        cube = cube.join(_rates(per_day, fixed, dims, name), [*fixed, *dims], "left")
-    return cube.select(
+    day, weekday = ["annee", "date_evenement", "event_kind"], ["annee", "jour_semaine", "event_kind"]
+    of_school = ["school_friendly_name", "etape_friendly"]
+    board = _rates(per_day, day, ["etape_friendly"], "absence_rate_css")
+    school = _rates(per_day, ["annee", "event_kind"], of_school, "avg_absence_rate_school")
+    # The school's mean travels with the weekday's, so that the cube is shuffled once for both.
+    habits = _rates(per_day, weekday, list(TOTALS), "avg_absence_rate_jour").join(
+        school, ["annee", "event_kind", *of_school], "left"
+    )
+    joined = cube.join(habits, [*weekday, *TOTALS], "left").join(board, [*day, "etape_friendly"], "left")
+    return joined.select(
         filter_key(),
         "jour_semaine",
         "date_evenement",

@@ -103,11 +103,11 @@ class Board:
 
     @cached_property
     def daily_rate_report(self) -> DataFrame:
-        return absence_reports.daily_rate_report(self.daily_metrics)
+        return absence_reports.daily_rate_report(self.shared("daily_metrics"))
 
     @cached_property
     def term_rate_report(self) -> DataFrame:
-        return absence_reports.term_rate_report(self.daily_metrics)
+        return absence_reports.term_rate_report(self.shared("daily_metrics"))
 
     @cached_property
     def kind_distribution_report(self) -> DataFrame:
@@ -127,7 +127,7 @@ class Board:
 
     @cached_property
     def absence_filters_report(self) -> DataFrame:
-        return absence_reports.absence_filters_report(self.daily_metrics, self.inputs["dim_mapper_schools"])
+        return absence_reports.absence_filters_report(self.shared("daily_metrics"), self.inputs["dim_mapper_schools"])
 
     @cached_property
     def long_absence_report(self) -> DataFrame:
@@ -234,7 +234,7 @@ class Board:
     @cached_property
     def activity_yearly(self) -> DataFrame:
         return employment.activity_yearly(
-            self.activity_history,
+            self.shared("activity_history"),
             self.inputs["dim_employment_status_yearly"],
             self.main_job_yearly,
             self.inputs["i_pai_dos_empl"],
@@ -248,7 +248,7 @@ class Board:
     @cached_property
     def seniority(self) -> DataFrame:
         return employment.seniority(
-            self.activity_history,
+            self.shared("activity_history"),
             self.inputs["dim_employment_status_yearly"],
             self.inputs["dim_engagement_status_yearly"],
             self.main_job_history,
@@ -259,7 +259,7 @@ class Board:
     @cached_property
     def retirements(self) -> DataFrame:
         return retirement.retirements(
-            self.activity_history, self.inputs["dim_employment_status_yearly"], self.inputs["dim_employees"]
+            self.shared("activity_history"), self.inputs["dim_employment_status_yearly"], self.inputs["dim_employees"]
         )
 
     @cached_property
@@ -269,7 +269,7 @@ class Board:
     @cached_property
     def retirement_forecasts(self) -> DataFrame:
         return retirement.retirement_forecasts(
-            self.activity_current,
+            self.shared("activity_current"),
             self.shared("retirements"),
             self.inputs["i_pai_dos"],
             self.inputs["dim_mapper_job_group"],
@@ -280,8 +280,8 @@ class Board:
     @cached_property
     def active_age_report(self) -> DataFrame:
         return retirement.active_age_report(
-            self.activity_current,
-            self.retirements,
+            self.shared("activity_current"),
+            self.shared("retirements"),
             self.inputs["dim_employees"],
             self.inputs["dim_mapper_job_group"],
             self.params,
@@ -290,7 +290,7 @@ class Board:
     @cached_property
     def retirement_age_report(self) -> DataFrame:
         return retirement.retirement_age_report(
-            self.retirements, self.inputs["dim_mapper_job_group"], self.inputs["i_pai_dos"], self.params
+            self.shared("retirements"), self.inputs["dim_mapper_job_group"], self.inputs["i_pai_dos"], self.params
         )
 
     @cached_property
@@ -316,7 +316,7 @@ class Board:
     @cached_property
     def teacher_qualifications(self) -> DataFrame:
         return qualifications.teacher_qualifications(
-            self.activity_current, self.inputs["etat_empl"], self.inputs["i_pai_qualif"], self.params
+            self.shared("activity_current"), self.inputs["etat_empl"], self.inputs["i_pai_qualif"], self.params
         )
 
     @cached_property
