@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from boardroll.llm.common import map_texts
+from boardroll.llm.common import map_texts, share
 
 NONE = np.int32(2**31 - 1)
 _FREE = np.uint64(2**64 - 1)
@@ -228,10 +228,10 @@ class Codec:
 
 
 def _spread(docs: DataFrame, codec: Codec, fields: list[StructField], row: Callable) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(codec)
+    shared = share(docs, codec)
 
     def work():
-        own = shared.value
+        own = shared()
         encode = own.encoder()
 
         def apply(texts: list[str]) -> list[pa.Array]:
@@ -253,10 +253,10 @@ def encode(docs: DataFrame, codec: Codec) -> DataFrame:
 
 def decode(encoded: DataFrame, codec: Codec) -> DataFrame:
     """Bytes of every row of ids: doc_id, decoded (binary); null ids decode to nothing."""
-    shared = encoded.sparkSession.sparkContext.broadcast(codec)
+    shared = share(encoded, codec)
 
     def run(batches):
-        own = shared.value
+        own = shared()
         for batch in batches:
             raw = [own.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "decoded"])

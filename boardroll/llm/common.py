@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -54,6 +56,12 @@ def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(docs[column].cast("string"), F.lit(""))
 
 
+def share(df: DataFrame, value: object) -> Callable[[], object]:
+    """Broadcast a model or vocabulary of bounded size; the result gives it inside tasks."""
+    packed = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)
+
+
 def map_texts(
     docs: DataFrame,
     work: Callable[[], Callable[[list[str]], Sequence[pa.Array]]],

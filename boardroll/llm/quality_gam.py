@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField
 
-from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts
+from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts, share
 
 FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "marks", "outside_ascii", "distinct_words",
@@ -218,10 +218,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 4
 
 def score(docs: DataFrame, model: Gam) -> DataFrame:
     """doc_id and score (0 to 1) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of a fixed size
+    shared = share(docs, model)  # tables of a fixed size
 
     def work():
-        own = shared.value
+        own = shared()
 
         def apply(texts: list[str]) -> list[pa.Array]:
             x = np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES))
@@ -239,10 +239,10 @@ def predict(scored: DataFrame, threshold: float) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Gam, threshold: float) -> DataFrame:
     """Rows of ``docs`` that score ``threshold`` or more, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs, model)
 
     def work():
-        own = shared.value
+        own = shared()
         return lambda texts: own.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1)) >= threshold
 
     return filter_texts(docs, work)

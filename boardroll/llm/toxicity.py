@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField
 
-from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts
+from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts, share
 
 # Terms that name groups neutrally; a term may be swapped for any other of its line.
 IDENTITY = (
@@ -186,10 +186,10 @@ def train(
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1, the probability of being toxic) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most most_features weights
+    shared = share(docs, model)  # at most most_features weights
 
     def work():
-        apply = shared.value.scorer()
+        apply = shared().scorer()
         return lambda texts: [pa.array(apply(texts))]
 
     return map_texts(docs, work, [StructField("score", DoubleType())])
@@ -202,10 +202,10 @@ def predict(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def harmless(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below ``threshold``, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs, model)
 
     def work():
-        apply = shared.value.scorer()
+        apply = shared().scorer()
         return lambda texts: apply(texts) < threshold
 
     return filter_texts(docs, work)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from boardroll.llm.common import stage
+from boardroll.llm.common import share, stage
 
 _KEPT = 200_000
 
@@ -125,7 +125,7 @@ def judge(pages: DataFrame, rules: Mapping[str, str], labelled: DataFrame, most:
     drawn = labelled.where("verdict IN ('allow', 'block')").select("host", "path", "verdict")
     drawn = drawn.orderBy(F.xxhash64("host", "path"), "host", "path", "verdict").limit(most)
     model = fit([tuple(r) for r in stage(drawn, "url-labels").collect()])
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
+    shared = share(pages, model)  # a fixed number of weights
     host, path = split_url(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     split = split.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules))
@@ -134,7 +134,7 @@ def judge(pages: DataFrame, rules: Mapping[str, str], labelled: DataFrame, most:
     schema = StructType([StructField("page_id", kind), *names, StructField("block_score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = shared.value, {}
+        own, known = shared(), {}
         for batch in batches:
             scores = []
             for pair in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
