@@ -18,16 +18,16 @@ _EPOCH = date(1970, 1, 1)
 class Buckets:
     """Time buckets that spread a key's rows over several join groups.
 
-    Days outside ``first``..``last`` share the edge buckets, so an open end such as year
-    9999 costs no more than one at ``last`` and every day still has exactly one bucket.
+    Buckets are numbered over all days. Only days after ``last`` share its bucket, so that
+    an open end such as year 9999 costs no more than one at ``last``; every day still has
+    exactly one bucket.
     """
 
     days: int = 366
-    first: date = date(1990, 1, 1)
-    last: date = date(2040, 1, 1)
+    last: date = date(2100, 1, 1)
 
     def of(self, day: Column) -> Column:
-        inside = F.greatest(F.least(day, F.lit(self.last)), F.lit(self.first))
+        inside = F.least(day, F.lit(self.last))
         number = F.floor(F.datediff(inside, F.lit(_EPOCH)) / self.days).cast("int")
         return F.when(day.isNotNull(), number)
 
