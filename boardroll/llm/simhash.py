@@ -224,17 +224,23 @@ def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFra
     )
 
 
-def without_near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
-    """One row of ``docs`` per component, with all columns: that of the smallest id.
+def keep_first(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """One row of ``docs`` per root, with all columns: that of the smallest id.
 
-    Among rows that share that id the one of the smallest text digest stays; a null id
-    stays only where its component has no other.
+    ``rooted`` has root, doc_id and digest of every row. Among rows that share that id the
+    one of the smallest text digest stays; a null id stays only where its component has no
+    other.
     """
-    marked = docs.select("doc_id", "text").withColumn("digest", text_digest(docs))
-    marked = stage(fingerprints(marked, shingle, ("doc_id", "digest")), "fingerprints")
-    rooted = stage(marked.join(_classes(marked, bits), "fp").select("root", "doc_id", "digest"), "rooted")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest")).alias("first")
     first = stage(rooted.groupBy("root").agg(first), "first")
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
     decided = rooted.join(first, "root").select("doc_id", "digest", kept.alias("kept"))
     return keep_marked(docs, decided)
+
+
+def without_near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3) -> DataFrame:
+    """One row of ``docs`` per component, with all columns, as ``keep_first`` chooses it."""
+    marked = docs.select("doc_id", "text").withColumn("digest", text_digest(docs))
+    marked = stage(fingerprints(marked, shingle, ("doc_id", "digest")), "fingerprints")
+    rooted = stage(marked.join(_classes(marked, bits), "fp").select("root", "doc_id", "digest"), "rooted")
+    return keep_first(docs, rooted)
