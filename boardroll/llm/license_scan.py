@@ -59,10 +59,12 @@ _WORDS = bytes(
     for c in range(256)
 )
 _EXPRESSION = re.compile(
-    r"spdx-license-identifier\s*:[ \t]*((?:[()]|[a-z0-9][a-z0-9.+:-]*|[ \t])+)", re.IGNORECASE
+    r"spdx-license-identifier\s*:[ \t]*((?:[()]|[a-z0-9][a-z0-9.+:-]*|[ \t]|[\r\n]+[ \t]*[*#/;]*)+)", re.IGNORECASE
 )
-_TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*", re.IGNORECASE)
+_TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*|\r\n|\r|\n", re.IGNORECASE)
 _BINDS = {"or": 1, "and": 2, "with": 3}
+_UPPER = (["OR"], ["AND"], ["WITH"])
+"""Operators as SPDX writes them; only these continue an expression from the next line."""
 _IDENTIFIED = 0.99
 
 
@@ -102,14 +104,51 @@ def postfix(tokens: list[str]) -> list[str]:
     return out + held[::-1]
 
 
+def _written(expression: str) -> list[str]:
+    """Tokens up to the first line break at which no operator and no bracket is open.
+
+    A break just before an operator is passed over too. Comment marks at the beginning of
+    a continued line are no tokens.
+    """
+    tokens = _TOKEN.findall(expression)
+    out: list[str] = []
+    depth = 0
+    for k, token in enumerate(tokens):
+        if token in ("\r\n", "\r", "\n"):
+            if out and depth <= 0 and out[-1].lower() not in _BINDS and tokens[k + 1 : k + 2] not in _UPPER:
+                break
+            if not out:
+                break  # a tag without an expression on its line
+            continue
+        depth += (token == "(") - (token == ")")
+        out.append(token)
+    return out
+
+
+def _names(tokens: list[str]) -> list[str]:
+    """Licence names of a broken expression, up to a name or bracket that no operator joins."""
+    out: list[str] = []
+    ended = False
+    for token in tokens:
+        if token.lower() in _BINDS:
+            ended = False
+        elif token == ")":
+            ended = True
+        elif ended:
+            break
+        elif token != "(":
+            out.append(token.lower())
+            ended = True
+    return out
+
+
 def evaluate(expression: str) -> dict[str, float]:
     """Labels of an expression, with their confidence."""
-    tokens = _TOKEN.findall(expression)
+    tokens = _written(expression)
     try:
         order = postfix(tokens)
     except ValueError:
-        names = [t.lower() for t in tokens if t not in "()" and t.lower() not in _BINDS]
-        return {n: _IDENTIFIED / 2 for n in names[:1]}
+        return dict.fromkeys(_names(tokens), _IDENTIFIED / 2)
     stack: list[dict[str, float]] = []
     for token in order:
         if token not in _BINDS:

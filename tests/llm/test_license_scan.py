@@ -57,3 +57,22 @@ def test_expressions():
 
 def test_empty_table(documents):
     assert scan.scan_licences(documents((1, "x")).where("false")).count() == 0
+
+
+def test_expressions_over_lines():
+    def labels(text):
+        return scan.Scanner().scan(f"SPDX-License-Identifier: {text}")[5]
+
+    assert labels("(MIT OR Apache-2.0\n OR BSD-3-Clause)\nmore prose") == "apache-2.0,bsd-3-clause,mit"
+    assert labels("MIT OR\r\n# Apache-2.0\nnext line") == "apache-2.0,mit"
+    assert labels("MIT\n * OR Apache-2.0 */") == "apache-2.0,mit"
+    assert labels("MIT\nor else nothing") == "mit" and labels("\nprose here") == ""
+
+
+def test_broken_expressions_give_all_names_up_to_the_break():
+    half = pytest.approx(0.495)
+    assert scan.evaluate("(MIT OR Apache-2.0") == {"mit": half, "apache-2.0": half}
+    assert scan.evaluate("MIT OR Apache-2.0 AND") == {"mit": half, "apache-2.0": half}
+    assert scan.evaluate("(MIT OR Apache-2.0 prose goes on") == {"mit": half, "apache-2.0": half}
+    assert scan.evaluate("MIT AND OR GPL-2.0-only") == {"mit": half, "gpl-2.0-only": half}
+    assert scan.evaluate("OR MIT") == {"mit": half}
