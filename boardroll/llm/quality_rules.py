@@ -4,15 +4,18 @@ Statistics are computed per text with array functions, and transformed into a ve
 four: the logarithm of the number of words, the mean word length, the logarithm of symbols
 per thousand word characters, and the share of words in repeated windows. For each
 language and source the location and scatter of these vectors are estimated by the minimum
-covariance determinant: from two starts (medians with median deviations; mean with
-variances), concentration steps re-estimate from the ``core`` share of vectors that lie
-closest, and the start with the smaller determinant wins. A document is rejected if its
-squared Mahalanobis distance, scaled so that the median is that of a chi-square, exceeds
-``cutoff``.
+covariance determinant: from four starts (medians with quartile ranges; mean with variances;
+scatter of spatial signs; scatter of tanh), concentration steps re-estimate from the
+``core`` share of vectors that lie closest until the determinant settles, and the start
+with the smallest determinant wins. Last the vectors within the 97.5 % point of a chi-square
+give the estimate. Equal vectors count once, so copies of one text cannot fill the core. A
+document is rejected if its squared Mahalanobis distance, scaled so that the median is that
+of a chi-square, exceeds ``cutoff``.
 
 ``FLOORS`` are added to the variances (a regularised estimate), since most texts have no
-symbol and no repetition at all. A group under ``least`` rows is pooled with the other
-small groups of its language; if those are still fewer, nothing there is an outlier.
+symbol and no repetition at all. A group under ``least`` different vectors is judged by the
+pool of the small groups of its language; if that is still smaller, by all of the language,
+and if that is, by all rows of the table. So every row is judged by some estimate.
 
 Only DataFrame and SQL functions are used. All estimates cover all rows. Groups meet in
 partial aggregates and the small table of estimates is joined back without a hint, so a
@@ -40,6 +43,9 @@ FLOORS = (0.25, 0.25, 0.5, 0.05)
 SALTS = 32
 CHI_MEDIAN = 3.3567
 """Median of a chi-square with four degrees of freedom."""
+CHI_MOST = 11.1433
+"""97.5 % point of a chi-square with four degrees of freedom."""
+SETTLED = 1e-4
 CUTOFF = 100.0
 """Squared distance from which a text is rejected. A chi-square exceeds it once in 1e20; the
 statistics of prose have far heavier tails, and clean texts are to be kept."""
@@ -156,12 +162,38 @@ def _beside(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
     return vectors.join(salted, ["grp", "salt"])
 
 
-def estimate(vectors: DataFrame, core: float = 0.75, steps: int = 3) -> DataFrame:
+def _signs(first: DataFrame, vectors: DataFrame) -> list[DataFrame]:
+    """Starts from the medians with the scatter of spatial signs, and with that of tanh."""
+    scale = [F.greatest((F.col(f"q{j}")[2] - F.col(f"q{j}")[0]) / 1.349, F.lit(FLOORS[j])).alias(f"c{j}") for j in range(P)]
+    middles = [F.col(f"q{j}")[1].alias(f"m{j}") for j in range(P)]
+    centred = stage(first.select("grp", *middles, *scale), "centres")
+    z = [((F.col(f"x{j}") - F.col(f"m{j}")) / F.col(f"c{j}")).alias(f"z{j}") for j in range(P)]
+    z = _beside(vectors, centred).select("grp", *z)
+    norm = F.greatest(sum(F.col(f"z{j}") * F.col(f"z{j}") for j in range(P)), F.lit(1e-9))
+    signs = [F.avg(P * F.col(f"z{j}") * F.col(f"z{i}") / norm).alias(f"u{j}{i}") for j, i in _cells()]
+    tanhs = [F.covar_pop(F.tanh(f"z{j}"), F.tanh(f"z{i}")).alias(f"t{j}{i}") for j, i in _cells()]
+    found = stage(z.groupBy("grp").agg(*signs, *tanhs).join(centred, "grp"), "sign-starts")
+    return [
+        found.select(
+            "grp", F.lit(start).alias("start"), *[f"m{j}" for j in range(P)],
+            *[
+                (F.col(f"{kind}{j}{i}") * F.col(f"c{j}") * F.col(f"c{i}") + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"s{j}{i}")
+                for j, i in _cells()
+            ],
+        )
+        for start, kind in ((2, "u"), (3, "t"))
+    ]
+
+
+def estimate(vectors: DataFrame, core: float = 0.5, steps: int = 50) -> DataFrame:
     """Robust location m*, Cholesky factor l* and median distance per ``grp``.
 
     ``vectors`` has grp, x0 to x3, and a salt from 0 to ``SALTS - 1`` dealt at random.
+    ``steps`` only bounds the search: a start is left as soon as its determinant settles.
+    The core of ``n`` vectors has at least ``(n + P + 1) / 2`` of them.
     """
     names = [f"x{j}" for j in range(P)]
+    vectors = stage(vectors.select("grp", "salt", *names).dropDuplicates(["grp", *names]), "vectors")
     quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias(f"q{j}") for j, n in enumerate(names)]
     spread = [F.avg(n).alias(f"a{j}") for j, n in enumerate(names)] + [
         F.stddev_pop(n).alias(f"d{j}") for j, n in enumerate(names)
@@ -174,22 +206,48 @@ def estimate(vectors: DataFrame, core: float = 0.75, steps: int = 3) -> DataFram
     now = first.select("grp", F.lit(0).alias("start"), *medians).unionByName(
         first.select("grp", F.lit(1).alias("start"), *means)
     )
-    now = stage(_factor(now), "estimates")
-    for _ in range(steps):
-        near = _beside(vectors, now).select("grp", "start", *names, _distance().alias("d2"))
-        limit = near.groupBy("grp", "start").agg(F.percentile_approx("d2", core, 1000).alias("limit"))
+    for more in _signs(first, vectors):
+        now = now.unionByName(more)
+    # The first determinants are not those of a core, so nothing settles in the first step.
+    now = stage(_factor(now).withColumn("logdet", F.lit(float("inf"))), "estimates")
+    shares = [core + k * (1 - core) / 10 for k in range(11)]
+    wanted = F.least(F.lit(1.0), core + (P + 1) / (2 * F.count(F.lit(1))))
+    place = F.ceil((wanted - core) * 10 / (1 - core) - 0.2).cast("int") if core < 1 else F.lit(0)
+    kept = ["grp", "start", "logdet", *[f"m{j}" for j in range(P)], *[f"l{j}{i}" for j, i in _cells()]]
+    done = None
+    for step in range(steps):
+        near = _beside(vectors, now).select("grp", "start", _distance().alias("d2"))
+        limit = near.groupBy("grp", "start").agg(
+            F.percentile_approx("d2", shares, 1000).alias("limits"), F.greatest(place, F.lit(0)).alias("place")
+        )
+        limit = limit.select("grp", "start", F.element_at("limits", F.col("place") + 1).alias("limit"))
         limit = stage(now.join(limit, ["grp", "start"]), "limits")
         near = _beside(vectors, limit).select("grp", "start", "limit", *names, _distance().alias("d2"))
-        fresh = near.groupBy("grp", "start").agg(*_moments(names, F.col("d2") <= F.col("limit")))
-        now = stage(_factor(fresh), "estimates")
-    best = now.groupBy("grp").agg(F.min(F.struct("logdet", "start", *[c for c in now.columns if c[0] in "ml" and c != "logdet"])).alias("best"))
-    best = stage(best.select("grp", "best.*").drop("start"), "best")
+        fresh = _factor(near.groupBy("grp", "start").agg(*_moments(names, F.col("d2") <= F.col("limit"))))
+        before = now.select("grp", "start", F.col("logdet").alias("before"))
+        fresh = stage(fresh.join(before, ["grp", "start"]).select(*kept, "before"), "estimates")
+        settled = F.col("before") - F.col("logdet") < SETTLED if step + 1 < steps else F.lit(True)
+        part = fresh.where(settled).select(*kept)
+        done = part if done is None else done.unionByName(part)
+        now = fresh.where(~settled).select(*kept)
+        if now.isEmpty():
+            break
+    best = done.groupBy("grp").agg(F.min(F.struct("logdet", "start", *kept[3:])).alias("best"))
+    best = _with_middle(vectors, stage(best.select("grp", "best.*").drop("start", "logdet"), "best"))
+    near = _beside(vectors, best).select("grp", "middle", *names, _distance().alias("d2"))
+    inner = F.col("d2") * CHI_MEDIAN <= CHI_MOST * F.col("middle")
+    whole = _factor(near.groupBy("grp").agg(*_moments(names, inner)))
+    return _with_middle(vectors, stage(whole.select("grp", *kept[3:]), "reweighted"))
+
+
+def _with_middle(vectors: DataFrame, best: DataFrame) -> DataFrame:
+    """Adds the median distance of each group."""
     middle = _beside(vectors, best).select("grp", _distance().alias("d2"))
     middle = middle.groupBy("grp").agg(F.percentile_approx("d2", 0.5, 1000).alias("middle"))
     return stage(best.join(middle, "grp"), "estimates")
 
 
-def judge(docs: DataFrame, cutoff: float = CUTOFF, least: int = 50, core: float = 0.75, steps: int = 3) -> DataFrame:
+def judge(docs: DataFrame, cutoff: float = CUTOFF, least: int = 50, core: float = 0.5, steps: int = 50) -> DataFrame:
     """Base statistics, base_failed, kept and the scaled squared ``distance`` of every row."""
     lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
     source = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))

@@ -90,3 +90,14 @@ def test_plan_is_native(documents):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
     assert frame.where(F.col("distance").isNull()).count() == 0
+
+
+def test_a_third_of_copies_or_mixed_bad_texts(spark):
+    dice = random.Random(8)
+    bad = [" ".join(w + "#$%&" * 9 for w in _prose(dice, dice.randint(80, 400)).split()) for _ in range(300)]
+    rows = [(k, _prose(dice, dice.randint(80, 400)), "en", s) for s in ("copies", "mixed") for k in range(600)]
+    rows += [(1000 + k, bad[0], "en", "copies") for k in range(300)] + [(1000 + k, t, "en", "mixed") for k, t in enumerate(bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    out = rules.judge(docs).collect()
+    assert all(r.kept for r in out if r.doc_id < 1000)
+    assert not any(r.kept or r.base_failed for r in out if r.doc_id >= 1000)
