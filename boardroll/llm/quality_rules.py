@@ -255,16 +255,23 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF, least: int = 50, core: float
         base_statistics(docs.select("doc_id", "text", lang.alias("lang"), source.alias("source")), "lang", "source"),
         "statistics",
     )
-    counts = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
+    told = rows.select("lang", "source", *_vector()).distinct()
+    told = stage(told, "different")
+    counts = stage(told.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")), "counts")
     small = F.col("rows") < least
-    names = counts.select(
-        "lang", "source", "rows",
-        F.when(small, F.to_json(F.struct("lang"))).otherwise(F.to_json(F.struct("lang", "source"))).alias("grp"),
-    )
-    pooled = names.groupBy("grp").agg(F.sum("rows").alias("pooled")).where(F.col("pooled") >= least)
-    names = stage(names.join(pooled, "grp").select("lang", "source", "grp"), "groups")
-    salt = F.pmod(F.xxhash64("doc_id", "n_words"), F.lit(SALTS)).cast("int").alias("salt")
-    vectors = rows.join(names, ["lang", "source"]).select("grp", salt, *_vector())
+    pools = counts.groupBy("lang").agg(F.sum("rows").alias("all_rows"), F.sum(F.when(small, F.col("rows"))).alias("pooled"))
+    own, pool = F.to_json(F.struct("lang", "source")), F.to_json(F.struct(F.col("lang").alias("pool")))
+    language, table = F.to_json(F.struct(F.col("lang").alias("all"))), F.lit("{}")
+    grp = (
+        F.when(~small, own).when(F.col("pooled") >= least, pool).when(F.col("all_rows") >= least, language).otherwise(table)
+    )
+    names = stage(counts.join(pools, "lang").select("lang", "source", grp.alias("grp")), "groups")
+    # A group of all of a language, or of the table, also learns from rows that others judge.
+    wide = names.select("lang", "source", F.explode(F.array(language, table)).alias("grp"))
+    wide = wide.join(names.select("grp").distinct(), "grp", "left_semi")
+    teach = stage(names.unionByName(wide.select("lang", "source", "grp")).distinct(), "teach")
+    salt = F.pmod(F.xxhash64(*[f"x{j}" for j in range(P)]), F.lit(SALTS)).cast("int").alias("salt")
+    vectors = told.join(teach, ["lang", "source"]).select("grp", salt, *[f"x{j}" for j in range(P)])
     found = estimate(vectors, core, steps)
     named = stage(names.join(found, "grp"), "group-estimates")
     far = _distance() * CHI_MEDIAN / F.greatest(F.col("middle"), F.lit(1.0))

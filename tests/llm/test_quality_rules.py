@@ -101,3 +101,20 @@ def test_a_third_of_copies_or_mixed_bad_texts(spark):
     out = rules.judge(docs).collect()
     assert all(r.kept for r in out if r.doc_id < 1000)
     assert not any(r.kept or r.base_failed for r in out if r.doc_id >= 1000)
+
+
+def test_rare_sources_are_judged_by_language_and_table(spark):
+    dice = random.Random(9)
+    bad = [" ".join(w + "#$%&" * 9 for w in _prose(dice, 200).split()) for _ in range(4)]
+    rows = [(k, _prose(dice, dice.randint(80, 400)), "en", "hot") for k in range(300)]
+    rows += [(400 + k, _prose(dice, 200), "en", f"rare{k % 3}") for k in range(12)]
+    rows += [(500 + k, _prose(dice, 200), None, "other") for k in range(5)]
+    places = [("en", "rare0"), ("en", "new"), (None, "other"), ("xx", None)]
+    rows += [(1000 + k, text, *place) for k, (text, place) in enumerate(zip(bad, places, strict=True))]
+    few = [(k, _prose(dice, dice.randint(80, 400)), "en", "s") for k in range(30)] + [(1000, bad[0], "en", "s")]
+    for table in (rows, few):
+        docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string").repartition(4)
+        out = rules.judge(docs).collect()
+        assert len(out) == len(table)
+        assert all(r.kept for r in out if r.doc_id < 1000)
+        assert not any(r.kept or r.base_failed for r in out if r.doc_id >= 1000)
