@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from boardroll.llm import (
     bpe,
     exact_dedup,
+    lexical_search,
     license_scan,
     packing,
     quality_gam,
     quality_rules,
+    runs,
     sharding,
     simhash,
     toxicity,
@@ -96,6 +98,28 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    index = lexical_search.build_index(_table(spark, folder, "documents"))
+    return lexical_search.search(index, _table(spark, folder, "benchmark"), 10)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of 24 words and three periods or more; every tenth document is made periodic."""
+    found = runs.find_runs(runs.looped(_table(spark, folder, "documents")), 24, 3)
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
@@ -107,6 +131,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_lexical_search": op11_lexical_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -115,4 +141,35 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_lexical_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        counted AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counted, totals GROUP BY term, docs
+        ),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) //
+                (1000 * tf + 8 * (10 + (90 * n * docs) // words)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (doc_id), totals
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
 }
