@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -38,7 +39,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark).rstrip('/')}/boardroll-{name}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged = path
+    return table
 
 
 def release(spark: SparkSession) -> int:
@@ -51,6 +54,27 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        mine = _made.get(context.applicationId, [])
+        for path in [p for p in mine if p == getattr(table, "_staged", None)]:
+            mine.remove(path)
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def give_up_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that are out of use.
+
+    The cleaner acts once the driver's JVM has collected the plans, which in a long loop of
+    small ones may be long after the disk is full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(docs: DataFrame, column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))

@@ -13,6 +13,7 @@ from boardroll.llm import (
     exact_dedup,
     lexical_search,
     license_scan,
+    nearest,
     packing,
     quality_gam,
     quality_rules,
@@ -104,6 +105,13 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(index, _table(spark, folder, "benchmark"), 10)
 
 
+def op12_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    vectors = _table(spark, folder, "embeddings")
+    graph = nearest.build_graph(vectors, 10)
+    return nearest.nearest(graph, vectors, F.col("vec_id") % 100 == 0, 10)
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of 24 words and three periods or more; every tenth document is made periodic."""
     found = runs.find_runs(runs.looped(_table(spark, folder, "documents")), 24, 3)
@@ -132,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
     "op11_lexical_search": op11_lexical_search,
+    "op12_nearest": op12_nearest,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
