@@ -250,7 +250,7 @@ def interval_overlap_join(t: Tables) -> DataFrame:
         F.date_add("day", 45).alias("o_end"),
     )
     pairs = op.overlap_join(
-        filled, still_open, ["o_custkey"], ("f_start", "f_end"), ("o_start", "o_end"), op.Buckets(days=91)
+        filled, still_open, ["o_custkey"], ("f_start", "f_end"), ("o_start", "o_end")
     )
     start, end = op.clip_interval(
         F.col("f_start"), F.col("f_end"), F.col("o_start"), F.col("o_end")
@@ -596,6 +596,37 @@ def scd_from_log(t: Tables) -> DataFrame:
     )
 
 
+@operator_query
+def as_of_log_state(t: Tables) -> DataFrame:
+    """Event type in force, by the change log of the day, at each event of the same user group.
+
+    The log's intervals are disjoint by construction; an event may come before the first.
+    """
+    events = _events(t).withColumn("user_group", F.col("user_id") % 7)
+    log = op.changes_to_intervals(
+        events.where("event_type <> 'click'"), "user_group", "day", "event_type", "ts", F.lit(date(2024, 2, 1))
+    )
+    spans = log.select("user_group", F.col("event_type").alias("in_force"), "valid_from", F.date_sub("valid_until", 1).alias("valid_to"))
+    points = events.select("event_id", "user_group", "day")
+    return op.as_of_join(points, spans, ["user_group"], "day", "valid_from", "valid_to", "left")
+
+
+@operator_query
+def clashing_spans(t: Tables) -> DataFrame:
+    """Orders whose span shares a day with an earlier one of their customer."""
+    spans = _spans(t).select("o_custkey", "o_orderkey", "start", F.col("end").alias("until"))
+    return op.clashing_intervals(spans, ["o_custkey"], "start", "until").select("o_custkey", "start", "until")
+
+
+@operator_query
+def running_peak(t: Tables) -> DataFrame:
+    """Dearest order of the priority up to each order."""
+    peak = op.running_max(
+        _orders(t), ["o_orderpriority"], ["day", "o_orderkey"], F.col("o_totalprice"), "peak"
+    )
+    return peak.select("o_orderkey", "o_orderpriority", "peak")
+
+
 @operator_query
 def point_in_time_pick(t: Tables) -> DataFrame:
     """Order in force on 30 September of each year, per customer."""

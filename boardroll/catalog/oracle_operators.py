@@ -162,6 +162,20 @@ OPERATOR_ORACLES = {
         WITH moves AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS before FROM {_EVENTS} AS e),
              changes AS (SELECT user_id, day, arg_max(event_type, ts) AS event_type FROM moves WHERE event_type IS DISTINCT FROM before GROUP BY ALL)
         SELECT user_id, event_type, day AS valid_from, coalesce(lead(day) OVER (PARTITION BY user_id ORDER BY day), DATE '2024-02-01') AS valid_until FROM changes""",
+    "as_of_log_state": f"""
+        WITH grouped AS (SELECT *, user_id % 7 AS user_group FROM {_EVENTS} AS e),
+             moves AS (SELECT *, lag(event_type) OVER (PARTITION BY user_group ORDER BY ts, event_type) AS before FROM grouped WHERE event_type <> 'click'),
+             changes AS (SELECT user_group, day, event_type FROM moves WHERE event_type IS DISTINCT FROM before
+                         QUALIFY row_number() OVER (PARTITION BY user_group, day ORDER BY ts DESC, event_type DESC) = 1),
+             spans AS (SELECT *, coalesce(lead(day) OVER (PARTITION BY user_group ORDER BY day), DATE '2024-02-01') AS until FROM changes)
+        SELECT g.event_id, g.user_group, g.day, s.event_type AS in_force FROM grouped g LEFT JOIN spans s
+            ON s.user_group = g.user_group AND g.day >= s.day AND g.day < s.until""",
+    "clashing_spans": f"""
+        SELECT o_custkey, day AS start, CAST(day + CAST(o_orderkey % 120 AS INTEGER) AS DATE) AS until FROM {_ORDERS} AS o
+        QUALIFY max(day + CAST(o_orderkey % 120 AS INTEGER)) OVER (PARTITION BY o_custkey ORDER BY day, o_orderkey % 120
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= day""",
+    "running_peak": f"""
+        SELECT o_orderkey, o_orderpriority, max(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY day, o_orderkey) AS peak FROM {_ORDERS} AS o""",
     "point_in_time_pick": f"""
         SELECT o_custkey, CAST(y.y AS INTEGER) AS year, o_orderkey, o_totalprice FROM {_ORDERS} AS o
         JOIN (SELECT unnest(generate_series(1995, 2000)) AS y) AS y ON o.day <= make_date(y.y, 9, 30)

@@ -1,9 +1,9 @@
 """Reusable DataFrame building blocks.
 
-Shared rules: keys are never null; nothing is collected to the driver; no join is hinted
-(adaptive execution broadcasts by measured size); a per-key window is used only where the
-group is bounded by the calendar or was pre-aggregated, otherwise rows are cut into
-chunks with a carried-in seed row (``scan``).
+Shared rules: keys are never null; only samples of a fixed size are collected to the driver;
+no join is hinted (adaptive execution broadcasts by measured size); a per-key window is used
+only where the group is bounded by the calendar or was pre-aggregated, otherwise hot keys
+are cut into pieces into which the scan's state is carried (``scan``).
 """
 
 from boardroll.operators.allocation import allocate
@@ -13,7 +13,9 @@ from boardroll.operators.flags import resolve_flag
 from boardroll.operators.headcount import headcount
 from boardroll.operators.intervals import (
     Buckets,
+    as_of_join,
     changes_to_intervals,
+    clashing_intervals,
     clip_interval,
     expand_years,
     overlap_join,
@@ -29,15 +31,17 @@ from boardroll.operators.quality import (
     quality_report,
     unexpected_values,
 )
-from boardroll.operators.scan import carry_forward, previous_value, running_sum
+from boardroll.operators.scan import carry_forward, previous_value, running_max, running_sum
 from boardroll.operators.survival import forecast_exits, survival_curve
 
 __all__ = [
     "UNKNOWN",
     "Buckets",
     "allocate",
+    "as_of_join",
     "carry_forward",
     "changes_to_intervals",
+    "clashing_intervals",
     "clip_interval",
     "decode",
     "dense_days",
@@ -59,6 +63,7 @@ __all__ = [
     "quality_report",
     "resolve_flag",
     "row_cube",
+    "running_max",
     "running_sum",
     "survival_curve",
     "unexpected_values",

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from boardroll.functions import concat_blank, school_year, school_year_start, weekdays_between
 from boardroll.operators import (
-    Buckets,
     changes_to_intervals,
     clip_interval,
     expand_years,
@@ -169,7 +168,6 @@ def seniority(
         ["matr", "ref_empl"],
         ("date_eff", "date_fin"),
         ("valid_from", "valid_until"),
-        Buckets(last=params.as_of),
     )
     starts, ends = clip_interval(
         F.col("date_eff"), F.col("date_fin"), F.col("valid_from"), F.col("valid_until")

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from boardroll import operators as op
-from boardroll.operators.scan import chunked
+from boardroll.operators.scan import Cuts
 
 
 def test_latest_takes_one_row_per_key_and_limits_before_the_shuffle(frame):
@@ -122,7 +122,7 @@ def test_range_joins_equal_brute_force(frame, seed):
         left = op.point_in_interval_join(p, s, ["k"], "at", "first", "last", "left", buckets)
         assert {r.i for r in left.filter("j IS NULL").collect()} == {i for *_, i in points} - {i for i, _ in expected}
         other = s.withColumnsRenamed({"first": "f2", "last": "l2", "j": "j2"})
-        pairs = op.overlap_join(s, other, ["k"], ("first", "last"), ("f2", "l2"), buckets)
+        pairs = op.overlap_join(s, other, ["k"], ("first", "last"), ("f2", "l2"))
         expected = {
             (j, j2) for k, a, b, j in spans for k2, a2, b2, j2 in spans
             if k == k2 and a <= b and a2 <= b2 and a <= b2 and a2 <= b
@@ -131,6 +131,69 @@ def test_range_joins_equal_brute_force(frame, seed):
         assert len(got) == len(expected) and {tuple(r) for r in got} == expected
 
 
+def _disjoint(random, keys):
+    spans, number = [], 0
+    for k in keys:
+        at = 0
+        for _ in range(25):
+            first = at + random.randrange(4)
+            at = first + random.randrange(1, 20)
+            spans.append((k, first, at - 1 - random.randrange(2), number))  # some without days
+            number += 1
+    return spans
+
+
+@pytest.mark.parametrize("chunk_rows", [None, 9])
+def test_as_of_join_equals_brute_force(frame, chunk_rows):
+    random, start = Random(9), date(2019, 11, 1)
+    day = lambda n: (start + timedelta(n)).isoformat()
+    spans = [*_disjoint(random, "abc"), ("d", 5, 2_900_000, 900)]
+    points = [(random.choice("aaabdz"), random.randrange(-5, 300), i) for i in range(400)]
+    p = frame("k string, at date, i int", *[(k, day(n), i) for k, n, i in points], ("a", None, 400), (None, day(5), 401))
+    s = frame("k string, first date, last date, j int, at int", *[(k, day(a), day(b), j, j) for k, a, b, j in spans])
+    expected = {i: j for k, n, i in points for k2, a, b, j in spans if k == k2 and a <= n <= b}
+    inner = op.as_of_join(p, s.drop("at"), ["k"], "at", "first", "last", chunk_rows=chunk_rows)
+    assert inner.columns == ["k", "at", "i", "j"]
+    got = inner.select("i", "j").collect()
+    assert len(got) == len(expected) and dict(map(tuple, got)) == expected
+    left = op.as_of_join(p, s.drop("at"), ["k"], "at", "first", "last", "left", chunk_rows)
+    assert {r.i: r.j for r in left.collect()} == {i: expected.get(i) for i in range(402)}
+    plan = inner._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    empty = op.as_of_join(p, s.drop("at").limit(0), ["k"], "at", "first", "last", "left", chunk_rows)
+    assert empty.count() == 402 and empty.where("j IS NOT NULL").isEmpty()
+    with pytest.raises(ValueError):
+        op.as_of_join(p, s, ["k"], "at", "first", "last", "full")
+
+
+def test_clashing_intervals(frame):
+    df = frame("k string, a int, b int", ("x", 1, 9), ("x", 2, 3), ("x", 9, 9), ("x", 10, 12), ("y", 2, 4), ("x", 5, 4), (None, 1, 2))
+    days = df.selectExpr("k", "date_add(DATE '2020-01-01', a) AS a", "date_add(DATE '2020-01-01', b) AS b", "a AS n")
+    assert rows(op.clashing_intervals(days, ["k"], "a", "b"), "k", "n") == [("x", 2), ("x", 9)]
+
+
+def test_overlap_join_copies_no_span_more_than_nine_times(spark, frame):
+    """Spans without an end, alone and in numbers, beside short ones."""
+    random, start = Random(4), date(1995, 1, 1)
+    spans = []
+    for i in range(150):
+        first = random.randrange(9000)
+        length = random.choice([0, 1, 31, 32, 33, 400, 5000])
+        spans.append((random.choice("ab"), start + timedelta(first), start + timedelta(first + length), i))
+    spans += [("a", date(1960, 5, 1), date(2100, 1, 1), 150), ("a", date(1, 1, 1), date(9999, 12, 31), 151), ("b", date(2001, 1, 1), date(9999, 12, 31), 152)]
+    text = [(k, a.isoformat(), b.isoformat(), i) for k, a, b, i in spans]
+    one = frame("k string, a date, b date, i int", *text)
+    two = frame("k string, c date, d date, j int", *text, ("a", None, "2020-01-01", 900), ("a", "2020-01-01", None, 901))
+    pairs = op.overlap_join(one, two, ["k"], ("a", "b"), ("c", "d"))
+    expected = {(i, j) for k, a, b, i in spans for k2, c, d, j in spans if k == k2 and a <= d and c <= b}
+    got = pairs.select("i", "j").collect()
+    assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+    from boardroll.operators.intervals import _cells_of_day, _cells_of_span
+
+    cells = one.select(F.size(_cells_of_span(F.col("a"), F.col("b"))).alias("n"), F.size(_cells_of_day(F.col("a"))).alias("m"))
+    assert cells.agg(F.max("n"), F.max("m")).first()[:] == (2, 7)
+
+
 def test_expand_years(frame):
     df = frame("i int, a date, b date", (1, "2019-06-30", "2020-07-01"), (2, "2020-07-01", None), (3, "2021-01-01", "2020-01-01"))
     assert rows(op.expand_years(df, "a", "b"), "i", "school_year") == [(1, 2018), (1, 2019), (1, 2020)]
@@ -257,16 +320,57 @@ def test_not_in_has_the_nulls_of_sql(spark, frame):
     assert rows(op.not_in(df, "k", some.filter("false"), "v")) == [(1,), (2,), (None,)]
 
 
-def test_chunks_follow_the_rows_of_a_hot_key(frame):
-    """A key with all rows, most of them in a short time, is cut evenly; null keys too."""
-    days = [(date(2020, 1, 1) + timedelta(k % 30 if k < 1800 else k)).isoformat() for k in range(2000)]
-    df = frame("k string, d date, i int", *[(None if k % 50 == 0 else "a", d, k) for k, d in enumerate(days)])
-    cut = chunked(df, ["k"], ["d", "i"], 100)
-    sizes = {(r.k, r._chunk): r["count"] for r in cut.groupBy("k", "_chunk").count().collect()}
-    most_of_a_day = 60
-    assert sum(sizes.values()) == 2000 and max(sizes.values()) <= 100 + most_of_a_day
-    assert len([1 for k, _ in sizes if k == "a"]) > 10
-    ordered = sorted((r.d, r._chunk) for r in cut.filter("k = 'a'").collect())
-    assert [c for _, c in ordered] == sorted(c for _, c in ordered)
+def test_pieces_follow_the_rows_of_a_hot_key(spark, frame):
+    """One row dated 9999, a hot hour, ties on the first order column, null keys: no piece holds a key."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        df = spark.range(30_000).select(
+            F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 50 == 1, F.concat(F.lit("k"), "id")).otherwise("a").alias("k"),
+            F.when(F.col("id") == 77, F.to_timestamp(F.lit("9999-12-31 00:00:00")))
+            .when(F.col("id") < 300, F.timestamp_seconds(F.col("id") * 86400))
+            .otherwise(F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") % 2)).alias("d"),
+            F.col("id").alias("i"),
+        )
+        cuts = Cuts(df, ["k"], ["d", "i"], 1000)
+        placed = df.withColumn("_part", cuts.piece())
+        sizes = {(r.k, r._part): r["count"] for r in placed.groupBy("k", "_part").count().collect()}
+        assert max(sizes.values()) < 30_000 / 8 and sum(sizes.values()) == 30_000
+        assert len([1 for k, _ in sizes if k == "a"]) > 10 and len([1 for k, _ in sizes if k == "k51"]) == 1
+        ordered = [r._part for r in placed.where("k = 'a'").orderBy("d", "i").collect()]
+        assert ordered == sorted(ordered)
+        summed = op.running_sum(df, ["k"], ["d", "i"], F.col("i"), "x")
+        whole = op.running_sum(df, ["k"], ["d", "i"], F.col("i"), "x", chunk_rows=None)
+        assert summed.exceptAll(whole).isEmpty() and summed.count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     with pytest.raises(TypeError):
-        chunked(df, ["d"], ["k"], 100)
+        Cuts(df.withColumn("k", F.array("k")), ["k"], ["d", "i"], 100)
+
+
+def test_scans_shuffle_rows_once_and_read_few_columns_for_hot_keys(spark, tmp_path):
+    """No join, no second shuffle of rows; cold keys take a plain window."""
+    wide = spark.range(20_000).selectExpr("id % 2 AS k", "id AS i", "id * 0.5D AS v", "uuid() AS more")
+    wide.write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    summed = op.running_sum(table, ["k"], ["i"], F.col("v"), "x")
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    whole, hot = sorted(scans, key=lambda line: "In(k, [0,1])" in line)
+    assert "more:string" in whole and "more:string" not in hot and "In(k, [0,1])" in hot
+    # The rows by key and piece; the few sums of the hot keys by key and piece, then by key.
+    assert plan.count("Exchange hashpartitioning") == 3
+    cold = op.running_sum(table, ["i"], ["v"], F.col("v"), "x")
+    assert "Subquery" not in cold._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_of_several_key_types(spark):
+    """Decimal, date, binary and null parts of keys and orders survive the literals."""
+    df = spark.range(6000).selectExpr(
+        "CAST(id % 3 AS DECIMAL(10,2)) / 3 AS a", "IF(id % 2 = 0, NULL, DATE '2020-02-29') AS b",
+        "CAST(CAST(id % 977 AS STRING) AS BINARY) AS o", "id / 7.0D AS p", "IF(id % 5 = 0, id, NULL) AS v",
+    )
+    for scan, column in ((op.carry_forward, "v"), (op.previous_value, F.col("v")), (op.running_sum, F.col("v"))):
+        cut = scan(df, ["a", "b"], ["o", "p"], column, "x")
+        whole = scan(df, ["a", "b"], ["o", "p"], column, "x", chunk_rows=None)
+        assert cut.dtypes == whole.dtypes and cut.exceptAll(whole).isEmpty(), scan
