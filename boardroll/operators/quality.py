@@ -38,6 +38,22 @@ def outside_range(
     return df.filter(bad)
 
 
+def _duplicated(df: DataFrame, unique: Mapping[str, Sequence[str]]) -> DataFrame:
+    """check_name and n_failures of each set of keys: how many of its values more than one row holds."""
+    columns = list(dict.fromkeys(c for keys in unique.values() for c in keys))
+    sets = list(dict.fromkeys(frozenset(keys) for keys in unique.values()))
+    grouped = df.groupingSets([[c for c in columns if c in keys] for keys in sets], *columns)
+    held = grouped.agg(F.grouping_id(*columns).alias("_set"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    # Bits of a set's number: one for every column, the first the highest, set where it is left out.
+    number = {keys: sum((c not in keys) << n for n, c in enumerate(reversed(columns))) for keys in sets}
+    counted = held.agg(*[F.count_if(F.col("_set") == number[keys]).alias(f"s{n}") for n, keys in enumerate(sets)])
+    rows = [
+        F.struct(F.lit(f"unique:{name}").alias("check_name"), F.col(f"s{sets.index(frozenset(keys))}").alias("n_failures"))
+        for name, keys in unique.items()
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def quality_report(
     df: DataFrame,
     unique: Mapping[str, Sequence[str]] | None = None,
@@ -47,8 +63,9 @@ def quality_report(
 ) -> DataFrame:
     """One row per check with its number of failures.
 
-    All row-level checks are counted in a single pass over the table; a uniqueness check
-    takes one aggregation of its own and counts the duplicated key values.
+    All row-level checks are counted in a single pass over the table. All uniqueness checks
+    share another: one grouping by every set of keys at once, which counts the duplicated
+    key values of each; null keys are compared too.
     """
     row_checks: dict[str, Column] = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
     for column, values in (accepted or {}).items():
@@ -66,13 +83,8 @@ def quality_report(
             ]
         )
         parts.append(counted.select(F.inline(pairs)))
-    for name, keys in (unique or {}).items():
-        parts.append(
-            duplicate_keys(df, keys).agg(
-                F.lit(f"unique:{name}").alias("check_name"),
-                F.count(F.lit(1)).alias("n_failures"),
-            )
-        )
+    if unique:
+        parts.append(_duplicated(df, unique))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

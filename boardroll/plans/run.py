@@ -1,4 +1,4 @@
-"""A run: build the wanted tables once each, lay them out, check them, stamp the report."""
+"""A run: build the wanted tables once each, lay them out, check them, show them, stamp the report."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from boardroll.params import Params
 from boardroll.plans.board import Board
 from boardroll.plans.checks import CHECKS, check_table
-from boardroll.sources import stamp, write_table
+from boardroll.sources import Snapshots, stamp
 
 
 class ChecksFailed(Exception):
@@ -27,15 +27,16 @@ def run_report(
     tables: Sequence[str],
     ended_at: datetime,
 ) -> DataFrame:
-    """Write ``tables`` under ``root/report``, check them, stamp the report; their checks.
+    """Write ``tables`` under ``root/report``, check them, show them, stamp the report; their checks.
 
     A table that several others need is written once and read back by all of them, whether
-    it is wanted itself or not. The checks read the written tables. The stamp is set only
-    if every check holds; otherwise ``ChecksFailed`` tells which do not, and the tables
-    stay for a look at them.
+    it is wanted itself or not. The checks read what was written; only if every check
+    holds do all tables of the report become current, at once, and the stamp is set. Otherwise,
+    or if the run breaks off, readers of the report still see its last good tables;
+    ``ChecksFailed`` tells which checks do not hold, and ``_checks`` keeps them all.
     """
-    place = f"{root}/{report}"
-    board = Board(inputs, params, lambda df, name: write_table(df, place, name))
+    place = Snapshots(spark, f"{root}/{report}")
+    board = Board(inputs, params, place.stage)
     found = None
     for name in tables:
         written = board.shared(name)
@@ -44,9 +45,10 @@ def run_report(
             found = checked if found is None else found.unionByName(checked)
     if found is None:
         found = spark.createDataFrame([], "table string, check_name string, n_failures long")
-    found = write_table(found, place, "_checks")
+    found = place.refresh(found, "_checks")
     failed = [tuple(row) for row in found.filter("n_failures > 0").collect()]  # one row per check
     if failed:
         raise ChecksFailed(failed)
+    place.commit()
     stamp(spark, root, report, ended_at)
     return found

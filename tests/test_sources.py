@@ -7,10 +7,14 @@ from boardroll.plans.checks import CHECKS
 from boardroll.sources import (
     CONTRACTS,
     LAYOUTS,
+    PLACES,
     SEEDS,
     SOURCES,
-    Sources,
+    BadSeed,
+    Catalog,
     Kept,
+    Snapshots,
+    Sources,
     Staging,
     code_labels,
     flag_codes,
@@ -67,16 +71,158 @@ def test_seeds(spark, frame, tmp_path):
         code_labels(df, "label", "code", [])
 
 
+def test_seed_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("IS_QUALIFIED,more,code,descr\ntrue,x,A,\"one, two\"\n,y,B,\n", encoding="utf-8")
+    assert rows(read_seed(spark, "ens_qualification", str(path))) == [("A", "one, two", True), ("B", None, None)]
+    path.write_text("code,descr\nA,x\n", encoding="utf-8")
+    with pytest.raises(BadSeed, match="lacks is_qualified"):
+        read_seed(spark, "ens_qualification", str(path))
+
+
+def test_bad_cells_name_their_record_and_column(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("an_budg,nb_hres_an,nb_etc\n2020,12.5,3\n2021,many,4\n2022,1,2,3\n2023,,\n", encoding="utf-8")
+    with pytest.raises(BadSeed) as failed:
+        read_seed(spark, "cibles_etc", str(path))
+    text = str(failed.value)
+    assert "record 2: nb_hres_an holds many, no double" in text and "record 3: not one cell for each column" in text
+    assert "record 1" not in text and "record 4" not in text
+    path.write_text("etat_empl,descr,empl_retr,empl_cong,cong_lt,etat_actif,valid_from,valid_until\nA,x,1,0,0,1,2020-02-30,\n")
+    with pytest.raises(BadSeed, match="record 1: valid_from holds 2020-02-30, no date"):
+        read_seed(spark, "etat_empl", str(path))
+
+
 def test_write_table_layout_and_refresh(spark, frame, tmp_path):
     df = frame("school_year int, matr string, v int", (2019, "a", 1), (2020, "b", 2), (2020, None, 3))
     layout = Layout(("school_year",), ("matr",))
     for _ in range(2):  # a second run replaces the first
         back = write_table(df, str(tmp_path), "t", layout)
     assert rows(back, "school_year", "matr", "v") == [(2019, "a", 1), (2020, "b", 2), (2020, None, 3)]
-    assert {p.name for p in (tmp_path / "t").glob("school_year=*")} == {"school_year=2019", "school_year=2020"}
+    assert back.dtypes == df.dtypes
+    for version in (tmp_path / "t").iterdir():
+        assert {p.name for p in version.glob("school_year=*")} == {"school_year=2019", "school_year=2020"}
     assert "PartitionFilters: [isnotnull(school_year" in back.filter("school_year = 2019")._jdf.queryExecution().toString()
 
 
+def test_readers_see_the_last_good_version(spark, frame, tmp_path):
+    """A write that fails midway, a write that is not committed, two tables that change together."""
+    place, other = Snapshots(spark, str(tmp_path)), Snapshots(spark, str(tmp_path))
+    with pytest.raises(KeyError):
+        place.read("t")
+    place.refresh(frame("a int", (1,), (2,)), "t")
+    before = other.read("t")
+    broken = spark.range(0, 4000, 1, 8).selectExpr("IF(id = 3999, raise_error('midway'), CAST(id AS INT)) AS a")
+    for layout in (Layout(), Layout((), ("a",))):
+        with pytest.raises(Exception, match="midway"):
+            place.refresh(broken, "t", layout)
+    assert rows(other.read("t")) == [(1,), (2,)]
+    staged = place.stage(frame("a int", (3,)), "t")
+    place.stage(frame("b int", (4,)), "u")
+    assert rows(staged) == [(3,)] and rows(other.read("t")) == [(1,), (2,)] and other.tables() == ["t"]
+    assert place.vacuum() >= 1  # what the broken writes have left; not what is staged
+    place.commit()
+    assert rows(other.read("t")) == [(3,)] and rows(other.read("u")) == [(4,)]
+    assert rows(before) == [(1,), (2,)]  # a reader that has begun keeps its version
+    assert place.vacuum() == 1 and rows(other.read("t")) == [(3,)]
+    with pytest.raises(KeyError):
+        place.commit(["t"])
+
+
+def test_a_write_computes_its_plan_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(0, 1000, 1, 4).mapInPandas(look, "id long")
+    back = write_table(df, str(tmp_path), "t", Layout((), ("id",)))
+    assert back.count() == 1000 and seen.value == 1000
+
+
+def _rows_scanned(df):
+    """Rows that the scan has handed on; row groups that it skips hand on none."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(n).metrics().apply("numOutputRows").value() for n in range(leaves.size()))
+
+
+def test_a_bloom_filter_skips_row_groups(spark, tmp_path):
+    """Values in no order, so that least and greatest values skip nothing."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    jvm_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm_conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        df = spark.range(0, 120_000, 1, 1).selectExpr("xxhash64(id) AS fiche", "id AS v")
+        read = {}
+        for name, layout in (("plain", Layout()), ("filtered", Layout(lookup=("fiche",)))):
+            table = write_table(df, str(tmp_path), name, layout)
+            wanted = df.where("v = 77777").first()["fiche"]
+            found = table.where(f"fiche = {wanted}L")
+            assert [r.v for r in found.collect()] == [77777]
+            read[name] = _rows_scanned(found)
+        assert read["plain"] == 120_000 and read["filtered"] < 30_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        jvm_conf.unset("parquet.block.size")
+
+
+def test_catalog_places_tables_under_their_names(spark, frame):
+    places = {"jobs": ("b_hr", "jobs"), "main": ("b_hr", "main_jobs"), "far": ("b_rls", "jobs")}
+    catalog = Catalog(spark, places, "t_")
+    try:
+        jobs = frame("matr string, school_year int", ("a", 2020), ("b", 2020))
+        assert rows(catalog.refresh(jobs, "jobs", Layout(("school_year",), ("matr",)))) == [("a", 2020), ("b", 2020)]
+        catalog.refresh(jobs.limit(1), "far")
+        assert saved_tables(spark, "t_b_hr")("jobs").count() == 2 and saved_tables(spark, "t_b_rls")("jobs").count() == 1
+        catalog.stage(jobs.limit(0), "jobs")
+        assert saved_tables(spark, "t_b_hr")("jobs").count() == 2  # not yet shown
+        catalog.commit()
+        assert saved_tables(spark, "t_b_hr")("jobs").count() == 0
+        assert catalog.vacuum("jobs") == 1 and saved_tables(spark, "t_b_hr")("jobs").count() == 0
+        jobs.write.saveAsTable("t_b_hr.main_jobs")  # somebody else's
+        with pytest.raises(ValueError, match="not written here"):
+            catalog.refresh(jobs, "main")
+        assert spark.table("t_b_hr.main_jobs").count() == 2
+        with pytest.raises(KeyError):
+            catalog.place("unknown")
+    finally:
+        for database in ("t_b_hr", "t_b_rls"):
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+def test_two_tables_may_not_share_a_name():
+    with pytest.raises(ValueError, match="would both be"):
+        Catalog(None, {"a": ("hr", "Jobs"), "b": ("HR", "jobs")})
+    assert len({(d, a) for d, a in PLACES.values()}) == len(PLACES)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    """activity_yearly and main_job_yearly, as they are laid out, on the employee."""
+    from boardroll.catalog.derived import PARAMS
+    from boardroll.catalog.plan_queries import DerivedInputs
+    from boardroll.plans.board import Board
+
+    board = Board(DerivedInputs(spark, "/root/testdata/sf0.001"), PARAMS)
+    catalog = Catalog(spark, prefix="t_")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = ("activity_yearly", "main_job_yearly")
+        activity, main = (catalog.refresh(getattr(board, n), n, buckets=4) for n in names)
+        joined = activity.join(main.select("matr", "main_job"), "matr")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        plain = board.activity_yearly.join(board.main_job_yearly.select("matr", "main_job"), "matr")
+        assert joined.count() == plain.count() > 0
+        # At most one file for each bucket and folder.
+        files = {tuple(f.rpartition("/")[::2]) for f in main.inputFiles()}
+        assert len(files) <= 4 * len({folder for folder, _ in files})
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE IF EXISTS t_human_resources CASCADE")
+
+
 def test_freshness(spark, tmp_path):
     stamp(spark, str(tmp_path), "absences", datetime(2021, 1, 1, 3))
     stamp(spark, str(tmp_path), "absences", datetime(2021, 1, 2, 3))
@@ -116,12 +262,16 @@ def test_a_run_writes_checks_and_stamps(spark, tmp_path):
     inputs, ended = DerivedInputs(spark, "/root/testdata/sf0.001"), datetime(2021, 1, 1)
     found = run_report(spark, inputs, PARAMS, str(tmp_path), "hr", ["main_job_yearly", "job_class_names"], ended)
     assert {r.table for r in found.collect()} == {"main_job_yearly", "job_class_names"} & set(CHECKS)
-    assert (tmp_path / "hr" / "main_job_yearly").is_dir() and list((tmp_path / "hr" / "main_job_yearly").glob("school_year=*"))
+    assert list((tmp_path / "hr" / "main_job_yearly").glob("*/school_year=*"))
+    good = Snapshots(spark, f"{tmp_path}/hr")
+    assert {"_checks", "job_class_names", "main_job_yearly"} <= {*good.tables()}
     assert rows(last_runs(spark, str(tmp_path))) == [("hr", "2021-01-01T00:00:00")]
     twice = {"i_pai_tab_lieu_trav": spark.createDataFrame([("001", "a"), ("001", "b"), (None, "c")], "lieu_trav string, descr string")}
     with pytest.raises(ChecksFailed):
         run_report(spark, twice, PARAMS, str(tmp_path), "rls", ["workplaces"], ended)
     assert last_runs(spark, str(tmp_path)).count() == 1
+    failed = Snapshots(spark, f"{tmp_path}/rls")
+    assert failed.tables() == ["_checks"] and not failed.read("_checks").where("n_failures > 0").isEmpty()
 
 
 def test_staging_uses_one_folder_per_run(spark, frame, tmp_path):
