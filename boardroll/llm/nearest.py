@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 from boardroll.llm.common import give_up_shuffles, share, stage, unstage
 
 _BLOCK_BYTES = 16 << 20
-_ROWS = 2048  # rows of members compared at a time
-_PAIRS = 65536  # distances measured at a time
+_ROWS = 1024  # rows of members compared at a time
+_PAIRS = 16384  # distances measured at a time
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
