@@ -14,7 +14,9 @@ A document's score is ``1 - prod(1 - confidence)`` over its distinct labels.
 
 Defined results: a null text is empty; without words all counts are 0 and both word
 places null; without labels ``labels`` is the empty string; an expression that cannot be
-parsed gives the labels of the licence names in it at half confidence.
+parsed gives the labels of the licence names in it at half confidence. An expression ends
+before the next tag, and before an operator that is followed by a word which is not formed
+like a licence's or exception's id; the name right behind the tag is taken as it is.
 """
 
 from __future__ import annotations
@@ -58,8 +60,18 @@ _WORDS = bytes(
     (c + 32 if 65 <= c <= 90 else c) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256)
 )
-_EXPRESSION = re.compile(
-    r"spdx-license-identifier\s*:[ \t]*((?:[()]|[a-z0-9][a-z0-9.+:-]*|[ \t]|[\r\n]+[ \t]*[*#/;]*)+)", re.IGNORECASE
+_TAGGED = re.compile(r"spdx-license-identifier\s*:[ \t]*", re.IGNORECASE)
+_EXPRESSION = re.compile(r"(?:[()]|[a-z0-9][a-z0-9.+:-]*|[ \t]|[\r\n]+[ \t]*[*#/;]*)+", re.IGNORECASE)
+# How licence and exception ids are formed, family by family.
+_KNOWN = re.compile(
+    r"""(?:[al]?gpl-[0-9.]+(?:-only|-or-later|\+)?|gfdl-[0-9.]+[a-z-]*
+    |mit(?:-[a-z0-9-]+)?|apache-[0-9.]+|bsd-[0-9]-clause(?:-[a-z-]+)?|0bsd|isc|zlib|unlicense|wtfpl|ncsa|x11|beerware
+    |(?:mpl|epl|cddl|cpl|osl|afl|ecl|eupl|artistic|ofl|bsl|ms-pl|ms-rl|psf|python|ruby|php|zpl|w3c|openssl|postgresql
+       |upl|mulanpsl|cecill|lppl|apsl|ipl|npl|qpl|sleepycat|vim|curl|ftl|libpng|hpnd|tcl|icu|json|intel|boost)(?:-[a-z0-9.-]+)?
+    |cc0-[0-9.]+|cc-by(?:-nc|-sa|-nd)*-[0-9.]+(?:-[a-z]+)?|cc-pddc|pddl-[0-9.]+|odbl-[0-9.]+
+    |(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+
+    |[a-z0-9.-]+-exception(?:-[a-z0-9.-]+)?|llvm-exception|linux-syscall-note|openvpn-openssl-exception)\+?""",
+    re.IGNORECASE | re.VERBOSE,
 )
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*|\r\n|\r|\n", re.IGNORECASE)
 _BINDS = {"or": 1, "and": 2, "with": 3}
@@ -122,7 +134,25 @@ def _written(expression: str) -> list[str]:
             continue
         depth += (token == "(") - (token == ")")
         out.append(token)
-    return out
+    return _without_prose(out)
+
+
+def _without_prose(tokens: list[str]) -> list[str]:
+    """Tokens before the first operator behind which a word stands that is no licence's id."""
+    for k, token in enumerate(tokens):
+        if token.lower() in _BINDS:
+            behind = next((t for t in tokens[k + 1 :] if t != "("), None)
+            if behind is not None and behind != ")" and behind.lower() not in _BINDS and not _KNOWN.fullmatch(behind):
+                return tokens[:k]
+    return tokens
+
+
+def expressions(text: str) -> list[str]:
+    """What may be an expression behind each tag, up to the next tag at most."""
+    tags = [(m.start(), m.end()) for m in _TAGGED.finditer(text)]
+    ends = [*[start for start, _ in tags], len(text)][1:]
+    found = [_EXPRESSION.match(text, begin, end) for (_, begin), end in zip(tags, ends, strict=False)]
+    return [m[0] for m in found if m]
 
 
 def _names(tokens: list[str]) -> list[str]:
@@ -199,8 +229,8 @@ class Scanner:
                 label, confidence = self.notices[phrase]
                 labels[label] = max(labels.get(label, 0.0), confidence)
         if tagged:
-            for match in _EXPRESSION.finditer(text):
-                for label, confidence in evaluate(match[1]).items():
+            for expression in expressions(text):
+                for label, confidence in evaluate(expression).items():
                     labels[label] = max(labels.get(label, 0.0), confidence)
         doubt = 1.0
         for label in sorted(labels):

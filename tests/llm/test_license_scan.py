@@ -76,3 +76,27 @@ def test_broken_expressions_give_all_names_up_to_the_break():
     assert scan.evaluate("(MIT OR Apache-2.0 prose goes on") == {"mit": half, "apache-2.0": half}
     assert scan.evaluate("MIT AND OR GPL-2.0-only") == {"mit": half, "gpl-2.0-only": half}
     assert scan.evaluate("OR MIT") == {"mit": half}
+
+
+def test_every_tag_counts():
+    def labels(text):
+        return scan.Scanner().scan(text)[5]
+
+    tag = "SPDX-License-Identifier:"
+    assert labels(f"{tag} MIT\n{tag} Apache-2.0") == "apache-2.0,mit"
+    assert labels(f"{tag} MIT\n\nsome text here\n{tag} GPL-2.0-only") == "gpl-2.0-only,mit"
+    assert labels(f"// {tag} MIT\r\n// {tag} ISC\n# {tag} Zlib") == "isc,mit,zlib"
+    assert labels(f"{tag} MIT OR\n{tag} Apache-2.0") == "apache-2.0,mit"
+    assert labels(f"{tag} MIT {tag} BSD-3-Clause") == "bsd-3-clause,mit"
+    assert labels(f"{tag}\n{tag} MIT") == "mit" and labels(f"{tag} {tag}") == ""
+
+
+def test_prose_behind_an_expression_is_no_licence():
+    assert scan.evaluate("MIT and more prose") == {"mit": 0.99}
+    assert scan.evaluate("MIT or whatever you like") == {"mit": 0.99}
+    assert scan.evaluate("GPL-2.0-only WITH Linux-syscall-note and thanks") == dict.fromkeys(["gpl-2.0-only", "linux-syscall-note"], 0.99)
+    assert scan.evaluate("MIT AND LicenseRef-Acme-1.0 OR DocumentRef-x:LicenseRef-y") == dict.fromkeys(
+        ["mit", "licenseref-acme-1.0", "documentref-x:licenseref-y"], 0.99
+    )
+    assert scan.evaluate("house-licence AND MIT") == dict.fromkeys(["house-licence", "mit"], 0.99)
+    assert scan.evaluate("MIT OR (Apache-2.0 WITH LLVM-exception)") == dict.fromkeys(["mit", "apache-2.0", "llvm-exception"], 0.99)
