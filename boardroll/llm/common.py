@@ -21,11 +21,16 @@ _made: dict[str, list[str]] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables between steps: ``spark.checkpoint.dir``, else the warehouse.
 
-    Both are shared by driver and executors on a cluster; no local temporary folder is
-    ever used.
+    No temporary folder of a machine is ever used. The warehouse of a session that names none is
+    a folder of the driver's machine, which executors elsewhere do not see; there that is
+    an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    root = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    master = spark.sparkContext.master
+    if not named and root.startswith(("file:", "/")) and not master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return root
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -44,25 +49,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every table this session has staged; call it once results are saved."""
-    paths = _made.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
-    return len(paths)
+def staged(spark: SparkSession) -> int:
+    """How many tables this session holds staged now; for ``release`` to go back to."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0, but: DataFrame | None = None) -> int:
+    """Delete the tables staged since there were ``since`` of them, all but one; how many they were.
+
+    Call it once what was made of them is saved.
+    """
+    mine = _made.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in mine[since:] if p != getattr(but, "_staged", None)]
+    for path in gone:
+        mine.remove(path)
+        _delete(spark, path)
+    return len(gone)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def unstage(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing will read again."""
+    """Delete staged tables that nothing will read again; other frames stay as they are."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        mine = _made.get(context.applicationId, [])
-        for path in [p for p in mine if p == getattr(table, "_staged", None)]:
+        mine = _made.get(table.sparkSession.sparkContext.applicationId, [])
+        if (path := getattr(table, "_staged", None)) in mine:
             mine.remove(path)
-            place = context._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(table.sparkSession, path)
 
 
 def give_up_shuffles(spark: SparkSession) -> None:
