@@ -3,13 +3,17 @@
 A text is the set of its distinct features: lower-cased words and, for longer words, their
 beginnings, hashed. Logistic regression is fitted with two penalties: the usual one on the
 size of the weights, and one on counterfactuals. Wherever a labelled text mentions an
-identity term, the term is swapped for the others of its group, and the squared change of
-the score (its logit) is penalised. A group's mere mention therefore earns no weight,
-however often it stands beside abuse in the labelled texts.
+identity term, the text is taken again with the term swapped for each other of its group, and
+the squared change of its score (the logit) is penalised. Only features that the swap really
+takes away or brings in count: a beginning that another word of the text holds up stays. A
+group's mere mention therefore earns no weight, however often it stands beside abuse in the
+labelled texts.
 
 The model is fitted on a bounded sample of labelled documents (``per_class`` of each
-class, weighted back to the true shares) with the ``most_features`` most telling features;
-every document is scored by its whole text.
+class, weighted back to the true shares). Features are counted by class in Spark, and only the
+``most_features`` most telling ones, and the texts' places among them, come to the driver. Toxic
+texts are rare, which pulls all scores down; so the score of 0.5 is laid where the sample's
+scores, each by a model fitted without it, part the classes best (by F1 of blurred scores). Every document is scored by its whole text.
 
 Defined results: a null text is empty and has no features; without labels every score is
 0.5, with labels of one class only every score is that class's smoothed share.
@@ -27,9 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts, share
+from boardroll.llm.common import class_weights, filter_texts, label_sample, map_texts, share, stage, unstage
 
 # Terms that name groups neutrally; a term may be swapped for any other of its line.
 IDENTITY = (
@@ -93,59 +97,69 @@ class Model:
         return score
 
 
-def _telling(x: list[np.ndarray], y: np.ndarray, most: int, least: int = 3) -> np.ndarray:
-    """The ``most`` features that differ most between the classes by chi-square."""
-    size = 1 << _BITS
-    ones = np.zeros(size)
-    zeros = np.zeros(size)
-    for row, label in zip(x, y, strict=True):
-        (ones if label else zeros)[row] += 1
-    total, n1, n0 = ones + zeros, y.sum(), len(y) - y.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        expected = total * n1 / len(y)
-        chi = (ones - expected) ** 2 / expected + (zeros - (total - expected)) ** 2 / (total - expected)
-    chi[(total < least) | ~np.isfinite(chi)] = 0
-    best = np.argsort(-chi, kind="stable")[:most]
-    return np.sort(best[chi[best] > 4])
+def _telling(sample: DataFrame, most: int, least: int = 3) -> list[int]:
+    """The ``most`` features that differ most between the classes by chi-square.
+
+    ``sample`` has label and x, the features of one text.
+    """
+    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    n1, n = F.lit(float(sizes.get(1, 0))), F.lit(float(sum(sizes.values())))
+    counted = (
+        sample.select("label", F.explode("x").alias("f"))
+        .groupBy("f")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("label")).alias("ones"))
+        .where(F.col("total") >= least)
+    )
+    expected = F.col("total") * n1 / n
+    off = (F.col("ones") - expected) ** 2
+    chi = off / expected + off / (F.col("total") - expected)
+    best = counted.withColumn("chi", chi).where("chi > 4").orderBy(F.desc("chi"), "f").limit(most)
+    return sorted(r["f"] for r in best.select("f").collect())
+
+
+class Swaps:
+    """Counterfactual texts, each as the change it makes to its text's features."""
+
+    def __init__(self, gone: Sequence[Sequence[int]], come: Sequence[Sequence[int]], share: Sequence[float]) -> None:
+        """Features (places in the model) that a swap takes away and brings in, and its weight."""
+        ends = [(g, -1.0) for g in gone], [(c, 1.0) for c in come]
+        self.row = np.array([k for part in ends for k, (f, _) in enumerate(part) for _ in f], np.int64)
+        self.column = np.array([p for part in ends for f, _ in part for p in f], np.int64)
+        self.sign = np.array([sign for part in ends for f, sign in part for _ in f])
+        self.share = np.asarray(share, np.float64)
+
+    def penalty(self, w: np.ndarray) -> tuple[float, np.ndarray]:
+        """Mean squared change of the logit, and its slope."""
+        if not len(self.row):
+            return 0.0, np.zeros_like(w)
+        change = np.bincount(self.row, self.sign * w[self.column], len(self.share))
+        slope = 2 * np.bincount(self.column, (self.sign * (self.share * change)[self.row]), len(w))
+        return float(self.share @ change**2), slope
+
+
+NO_SWAPS = Swaps([], [], [])
 
 
 def fit(
-    x: Sequence[Sequence[int]], y: np.ndarray, weight: np.ndarray, swaps: Mapping[tuple[str, str], float], *,
-    most_features: int = 6000, l2: float = 1e-4, counterfactual: float = 1.0, steps: int = 400, rate: float = 0.1,
-) -> Model:
-    """Logistic regression by Adam. ``swaps``: how often each term could have been another."""
+    x: Sequence[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int, swaps: Swaps = NO_SWAPS, *,
+    l2: float = 1e-4, counterfactual: float = 1.0, steps: int = 400, rate: float = 0.1,
+) -> tuple[float, np.ndarray]:
+    """Bias and weights of logistic regression, by Adam. ``x``: each text's places among ``size`` features."""
+    w = np.zeros(size)
     if not len(y):
-        return Model(0.0)
+        return 0.0, w
     share = (weight[y == 1].sum() + 0.5) / (weight.sum() + 1)
     bias = float(np.log(share / (1 - share)))
-    if y.min() == y.max():
-        return Model(bias)
-    rows = [np.unique(np.asarray(r, np.int64)) for r in x]
-    chosen = _telling(rows, y, most_features)
-    if not len(chosen):
-        return Model(bias)
-    place = np.full(1 << _BITS, -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    kept = [k[k >= 0] for k in (place[r] for r in rows)]
-    column = np.concatenate(kept)
-    row = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
-    gaps = []
-    total = sum(swaps.values())
-    for (term, other), n in swaps.items():
-        gap = np.zeros(len(chosen))
-        for sign, word in ((-1, term), (1, other)):
-            at = place[list(set(features(word)))]
-            gap[at[at >= 0]] += sign
-        if gap.any():
-            gaps.append(gap * np.sqrt(n / total))
-    gaps = np.array(gaps).reshape(len(gaps), len(chosen))
-    w = np.zeros(len(chosen))
+    if y.min() == y.max() or not size:
+        return bias, w
+    column = np.concatenate(x).astype(np.int64)
+    row = np.repeat(np.arange(len(x)), [len(k) for k in x])
     first, second, first_b, second_b = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
         margin = np.bincount(row, w[column], len(y)) + bias
         p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
         error = weight * (p - y) / weight.sum()
-        slope = np.bincount(column, error[row], len(w)) + l2 * w + 2 * counterfactual * gaps.T @ (gaps @ w)
+        slope = np.bincount(column, error[row], size) + l2 * w + counterfactual * swaps.penalty(w)[1]
         slope_b = error.sum()
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         first_b, second_b = 0.9 * first_b + 0.1 * slope_b, 0.999 * second_b + 0.001 * slope_b**2
@@ -153,35 +167,85 @@ def fit(
         speed = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         w -= speed * (first / a) / (np.sqrt(second / b) + 1e-8)
         bias -= speed * (first_b / a) / (np.sqrt(second_b / b) + 1e-8)
-    return Model(float(bias), dict(zip(chosen.tolist(), w.tolist(), strict=True)))
+    return float(bias), w
+
+
+def parting(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, blur: float = 0.5) -> float:
+    """The logit from which on to say 1 for the best F1.
+
+    Scores count as blurred by about ``blur``, so that no hair's breadth between them, such as a
+    penalised term leaves, can part the classes.
+    """
+    cuts = np.linspace(margin.min() - 1, margin.max() + 1, 400)
+    said = 1 / (1 + np.exp(-np.clip((margin - cuts[:, None]) / blur, -50, 50)))
+    f1 = 2 * said @ (weight * y) / (said @ weight + weight @ y)
+    best = np.flatnonzero(f1 >= f1.max() * (1 - 1e-6))
+    return float(cuts[best].mean())
+
+
+def _calibrated(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: int, swaps: Swaps, folds: int, **options) -> tuple[float, np.ndarray]:
+    """``fit``, with the bias moved so that 0.5 lies where held-out scores part the classes."""
+    bias, w = fit(x, y, weight, size, swaps, **options)
+    if not size or min((y == 0).sum(), (y == 1).sum()) < folds:
+        return bias, w
+    fold, margin = np.arange(len(y)) % folds, np.empty(len(y))
+    for k in range(folds):
+        own, rest = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        b, v = fit([x[r] for r in rest], y[rest], weight[rest], size, swaps, **options)
+        margin[own] = [b + v[x[r]].sum() for r in own]
+    return bias - parting(margin, y, weight), w
+
+
+def _swapped(own: set[str], groups: Mapping[str, Sequence[str]]) -> list[tuple[list[int], list[int]]]:
+    """For every swap of a term: features that the text loses and features that it gains."""
+    held = Counter(f for w in own for f in set(features(w)))
+    out = []
+    for term in sorted(own & groups.keys()):
+        mine = set(features(term))
+        left = {f for f, n in held.items() if n > (f in mine)}
+        for other in groups[term]:
+            if other != term:
+                new = left | set(features(other))
+                out.append((sorted(held.keys() - new), sorted(new - held.keys())))
+    return out
 
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 3000,
-    identity: Sequence[Sequence[str]] = IDENTITY, **options,
+    identity: Sequence[Sequence[str]] = IDENTITY, most_features: int = 6000, folds: int = 3, **options,
 ) -> Model:
     """Fit on at most ``per_class`` documents of each class whose ids ``usable`` admits."""
     sample, sizes = label_sample(docs, labels, "toxic", usable, per_class)
-    terms = {term: group for group in identity for term in group}
+    groups = {term: group for group in identity for term in group}
+    changes = pa.list_(pa.struct([("gone", pa.list_(pa.int32())), ("come", pa.list_(pa.int32()))]))
 
     def work():
         def apply(texts: list[str]) -> list[pa.Array]:
             told = [words(t) for t in texts]
             x = [sorted({f for w in own for f in features(w)}) for own in told]
-            return [pa.array(x, pa.list_(pa.int32())), pa.array([sorted(own & terms.keys()) for own in told], pa.list_(pa.string()))]
+            swaps = [[{"gone": g, "come": c} for g, c in _swapped(own, groups)] for own in told]
+            return [pa.array(x, pa.list_(pa.int32())), pa.array(swaps, changes)]
 
         return apply
 
-    fields = [StructField("x", ArrayType(IntegerType())), StructField("terms", ArrayType(StringType()))]
-    table = map_texts(sample, work, fields, keys=["label"]).toArrow()
-    y = table.column("label").to_numpy().astype(np.float64)
-    x = [r.values.to_numpy() for r in table.column("x")]
-    order = sorted(range(len(y)), key=lambda k: (y[k], len(x[k]), x[k].tobytes()))
-    swaps: Counter[tuple[str, str]] = Counter()
-    for own in table.column("terms").to_pylist():
-        swaps.update((term, other) for term in own for other in terms[term] if other != term)
-    y, x = y[order], [x[k] for k in order]
-    return fit(x, y, class_weights(y, sizes), swaps, **options)
+    listed = ArrayType(IntegerType())
+    change = StructType([StructField("gone", listed), StructField("come", listed)])
+    fields = [StructField("x", listed), StructField("swaps", ArrayType(change))]
+    table = stage(map_texts(sample, work, fields, keys=["doc_id", "label"]), "toxic-features")
+    chosen = _telling(table, most_features)
+    place = {f: n for n, f in enumerate(chosen)}
+    kept = F.array(*[F.lit(f) for f in chosen]) if chosen else F.array().cast("array<int>")
+    only = lambda f: F.array_intersect(f, kept)
+    small = F.transform("swaps", lambda s: F.struct(only(s["gone"]).alias("gone"), only(s["come"]).alias("come")))
+    rows = table.orderBy(F.xxhash64("doc_id"), "doc_id").select("label", only(F.col("x")).alias("x"), small.alias("swaps")).collect()
+    y = np.array([r["label"] for r in rows], np.float64)
+    x = [np.array([place[f] for f in r["x"]], np.int64) for r in rows]
+    met = [(s["gone"], s["come"], 1 / (len(rows) * len(r["swaps"]))) for r in rows for s in r["swaps"]]
+    at = lambda told: [[place[f] for f in fs] for fs in told]
+    swaps = Swaps(at([m[0] for m in met]), at([m[1] for m in met]), [m[2] for m in met])
+    bias, w = _calibrated(x, y, class_weights(y, sizes), len(chosen), swaps, folds, **options)
+    unstage(table)
+    return Model(bias, dict(zip(chosen, w.tolist(), strict=True)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -34,28 +34,63 @@ def test_quality_held_out(spark):
     assert np.mean([r.predicted for r in out if r.quality]) > 0.97
 
 
-def test_counterfactual_penalty():
-    """Abuse that stands beside a group's name teaches the abuse, not the name."""
+def test_toxicity_recall_on_the_larger_table(spark):
+    """Nine of ten held-out toxic documents of sf0.1, and no clean one in a hundred."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.train(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    held = docs.join(labels.select("doc_id", "toxic"), "doc_id").where(remainder(F.col("doc_id"), 5) == 0)
+    scores = {r.doc_id: r.score for r in toxicity.score(held, model).collect()}
+    toxic = [scores[r.doc_id] >= 0.5 for r in held.where("toxic = 1").select("doc_id").collect()]
+    clean = [scores[r.doc_id] >= 0.5 for r in held.where("toxic = 0").select("doc_id").collect()]
+    assert np.mean(toxic) >= 0.9 and np.mean(clean) <= 0.01
+
+
+def _labelled(spark):
+    """Abuse often, and neutral mentions never, stand beside one group's name."""
     dice = random.Random(1)
     filler = [f"filler{k}" for k in range(40)]
-    x, y, swaps = [], [], {}
+    texts = []
     for k in range(400):
-        toxic = k % 2
         own = dice.sample(filler, 8)
-        if toxic:
+        if k % 2:
             own += ["villain"] * (dice.random() < 0.7) + ["muslims"] * (dice.random() < 0.6)
-        x.append(sorted({f for w in own for f in toxicity.features(w)}))
-        y.append(toxic)
-    for other in ("christians", "jews"):
-        swaps["muslims", other] = 120
-    y = np.array(y, float)
-    neutral = ["the muslims of the town"]
-    plain = toxicity.fit(x, y, np.ones(400), {})
-    fair = toxicity.fit(x, y, np.ones(400), swaps, counterfactual=50.0)
-    assert plain.scorer()(neutral)[0] > 0.8 > 0.6 > fair.scorer()(neutral)[0]
-    assert fair.scorer()(["such a villain"])[0] > 0.9
-    swapped = fair.scorer()(["the jews of the town"])[0]
-    assert abs(swapped - fair.scorer()(neutral)[0]) < 0.1
+        texts.append((k, " ".join(own), k % 2))
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    return docs, spark.createDataFrame([(t[0], t[2]) for t in texts], "doc_id long, toxic int")
+
+
+def test_counterfactual_penalty_at_its_default_strength(spark):
+    """Fewer false positives on neutral mentions; abuse is still found, and a swap changes little."""
+    docs, labels = _labelled(spark)
+    neutral = [f"the {group} of the {place}" for group in ("muslims", "christians", "jews") for place in ("town", "filler3 filler9")]
+    abuse = [f"such a villain of the {place}" for place in ("town", "filler3", "muslims")]
+    said = {}
+    for strength in (0.0, 1.0):
+        model = toxicity.train(docs, labels, F.lit(True), counterfactual=strength)
+        score = model.scorer()
+        said[strength] = (score(neutral) >= 0.5).sum(), (score(abuse) >= 0.5).sum()
+        swapped = np.ptp(score(["filler1 filler2 muslims", "filler1 filler2 jews"]))
+        assert (swapped < 0.05) == (strength > 0)
+    assert said[0.0][0] >= 2 and said[1.0] == (0, 3)
+
+
+def test_swaps_count_only_features_that_really_change():
+    groups = {"women": ("women", "men"), "men": ("women", "men")}
+    ((gone, come),) = toxicity._swapped({"women", "womenfolk", "town"}, groups)
+    whole = toxicity.features("women")[0]
+    assert gone == [whole] and set(come) == set(toxicity.features("men"))  # beginnings are held up
+    ((gone, _),) = toxicity._swapped({"women"}, groups)
+    assert set(gone) == set(toxicity.features("women"))
+    assert toxicity._swapped({"town"}, groups) == []
+
+
+def test_parting_lies_in_the_best_gap():
+    margin, y = np.array([3.0, 2.0, -4.0, -9.0, 1.0, -9.0]), np.array([1, 1, 1, 0, 1, 0])
+    assert -7.5 < toxicity.parting(margin, y, np.ones(6)) < -5.5
+    hair = np.array([4.0] * 5 + [0.01] * 5 + [0.0] * 90)  # no cut between nearly equal scores
+    assert 1 < toxicity.parting(hair, (hair > 0).astype(int), np.ones(100)) < 3.5
+
 
 
 def test_degenerate_labels(spark, documents):
