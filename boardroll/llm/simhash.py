@@ -7,9 +7,12 @@ blocks), about 32 bits, and every candidate is verified by its Hamming distance.
 
 A block group is searched inside one task by growing trees: from a fingerprint to all not
 yet reached ones within the distance. This gives one link per fingerprint reached, never
-all pairs, and leaves connectivity exact. Groups over ``chunk`` fingerprints are dealt
-into chunks, and each pair of chunks is a group of its own, so no task holds more than
-``2 * chunk`` fingerprints of one group. Copies share a fingerprint and take part once.
+all pairs, and leaves connectivity exact. The members of a group of over ``chunk``
+fingerprints are blocked again, by the same argument on the bits they do not share by
+force: those are cut into six blocks, of which close pairs agree on three. Each step halves the free
+bits, so that after three steps a group has 2^8 members at most; the rows it takes are a
+fixed multiple of the members, however many they are. Copies share a fingerprint and take
+part once.
 
 Components come from alternating large-star and small-star steps over the links; each
 step writes its tables to the shared folder, which cuts the lineage.
@@ -79,12 +82,16 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keys: Sequence[str] = ("doc_
     return map_texts(docs, work, [StructField("fp", LongType())], keys)
 
 
-def _masks(blocks: int, bits: int) -> list[int]:
-    """Signed masks of every choice of ``blocks - bits`` out of ``blocks`` blocks."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    own = [sum(1 << b for b in range(edges[k], edges[k + 1])) for k in range(blocks)]
-    masks = [sum(choice) for choice in combinations(own, blocks - bits)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+def _choices(free: int, blocks: int, bits: int) -> list[int]:
+    """Masks of every choice of ``blocks - bits`` out of ``blocks`` near equal blocks of the free bits."""
+    places = [b for b in range(64) if free >> b & 1]
+    edges = [len(places) * k // blocks for k in range(blocks + 1)]
+    own = [sum(1 << b for b in places[edges[k] : edges[k + 1]]) for k in range(blocks)]
+    return [sum(choice) for choice in combinations(own, blocks - bits)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def _trees(group: np.ndarray, bits: int) -> list[tuple[int, int]]:
@@ -107,7 +114,7 @@ def _search(bits: int):
 
     def links(run: pd.DataFrame) -> pd.DataFrame:
         fp = run["fp"].to_numpy().view(np.uint64)
-        keys = run[["choice", "held", "row", "col"]].to_numpy()
+        keys = run[["mask", "held"]].to_numpy()
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
         starts = np.concatenate(([0], cuts))
         sizes = np.diff(np.concatenate((starts, [len(fp)])))
@@ -127,13 +134,13 @@ def _search(bits: int):
         for batch in batches:
             if not len(batch):
                 continue
-            keys = batch[["choice", "held", "row", "col"]].to_numpy()
+            keys = batch[["mask", "held"]].to_numpy()
             same = (keys == keys[-1]).all(axis=1)
             last = len(batch) - int(np.argmin(same[::-1])) if not same.all() else 0
             if last:
                 yield links(pd.concat([*rest, batch.iloc[:last]], ignore_index=True))
                 rest = [batch.iloc[last:]]
-            elif rest and (rest[-1][["choice", "held", "row", "col"]].to_numpy()[-1] != keys[0]).any():
+            elif rest and (rest[-1][["mask", "held"]].to_numpy()[-1] != keys[0]).any():
                 yield links(pd.concat(rest, ignore_index=True))
                 rest = [batch]
             else:
@@ -144,32 +151,47 @@ def _search(bits: int):
     return run
 
 
+_SMALL = 8  # free bits of which a group is searched whatever its size
+
+
+def block_groups(distinct: DataFrame, bits: int = 3, blocks: int = 6, chunk: int = 1024) -> DataFrame:
+    """Rows (mask, held, fp) in groups of at most ``chunk``: equal bits ``held`` under ``mask``.
+
+    Any two of the distinct ``fp`` within ``bits`` of each other share a group. Groups of one
+    are left out.
+    """
+    spark, everything = distinct.sparkSession, (1 << 64) - 1
+    masks = _choices(everything, blocks, bits)
+    listed = F.array(*[F.lit(_signed(m)).cast("long") for m in masks])
+    keyed, found = distinct.select("fp", F.explode(listed).alias("mask")), None
+    while True:
+        keyed = keyed.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("held"))
+        sizes = keyed.groupBy("mask", "held").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sizes = stage(sizes, "block-sizes")
+        fits = (F.col("n") <= chunk) | (F.bit_count("mask") >= 64 - _SMALL)
+        met = keyed.join(sizes.where(fits).select("mask", "held"), ["mask", "held"])
+        found = met if found is None else found.unionByName(met)
+        hot = sizes.where(~fits)
+        # At most 20, then 400 masks: those of one step times the choices of the next.
+        held = [r["mask"] for r in hot.select("mask").distinct().collect()]
+        if not held:
+            return found
+        finer = [(m, [_signed(m & everything | c) for c in _choices(~m & everything, blocks, bits)]) for m in held]
+        finer = F.broadcast(spark.createDataFrame(finer, "mask long, masks array<long>"))
+        large = keyed.join(hot.select("mask", "held"), ["mask", "held"]).join(finer, "mask")
+        keyed = stage(large.select("fp", F.explode("masks").alias("mask")).distinct(), "hot-blocks")
+
+
 def block_links(distinct: DataFrame, bits: int = 3, blocks: int = 6, chunk: int = 1024) -> DataFrame:
     """Links (a, b) that connect all fingerprints within ``bits``, given distinct ``fp``.
 
     Every returned pair is within the distance, and the graph of the returned links has
     the same components as the graph of all such pairs.
     """
-    masks = F.array(*[F.lit(m).cast("long") for m in _masks(blocks, bits)])
-    keyed = distinct.select("fp", F.posexplode(masks).alias("choice", "mask")).select(
-        "fp", "choice", F.col("fp").bitwiseAND(F.col("mask")).alias("held")
-    )
-    sizes = keyed.groupBy("choice", "held").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = stage(sizes, "block-sizes")
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    met = (
-        keyed.join(sizes.select("choice", "held", chunks.alias("chunks")), ["choice", "held"])
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "choice", "held", "fp",
-            F.least("own", "other").alias("row"), F.greatest("own", "other").alias("col"),
-        )
-    )
-    group = ["choice", "held", "row", "col"]
+    group = ["mask", "held"]
     return (
-        met.repartition(*group)
+        block_groups(distinct, bits, blocks, chunk)
+        .repartition(*group)
         .sortWithinPartitions(*group)
         .mapInPandas(_search(bits), "a long, b long")
     )

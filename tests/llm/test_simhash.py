@@ -1,6 +1,8 @@
+import itertools
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from boardroll.llm import simhash
 
@@ -70,6 +72,36 @@ def test_chunked_groups_lose_no_link(spark):
     assert len(set(zip(got, slow, strict=True))) == len(set(got)) == len(set(slow))
 
 
+def _crowd(n):
+    """Distinct fingerprints within three bits of one, itself first: one component."""
+    base = 0x0123456789ABCDEF
+    flips = itertools.chain(*(itertools.combinations(range(64), k) for k in range(4)))
+    prints = [base ^ sum(1 << b for b in chosen) for chosen in itertools.islice(flips, n)]
+    return [p - (1 << 64) if p >> 63 else p for p in prints]
+
+
+def test_a_crowd_of_near_copies_takes_linear_rows(spark):
+    """20,000 different near copies of one text: groups stay small, rows grow with their number."""
+    rows = {}
+    for n in (5_000, 20_000):
+        frame = spark.createDataFrame([(p,) for p in _crowd(n)], "fp long").repartition(8)
+        groups = simhash.block_groups(frame).groupBy("mask", "held").count().agg(F.sum("count"), F.max("count")).first()
+        rows[n] = groups[0]
+        assert groups[1] <= 1024
+    assert rows[20_000] <= 6 * rows[5_000] and rows[20_000] <= 20_000 * 400
+    links = simhash.block_links(frame)
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    assert len(roots) == 19_999 and len(set(roots.values())) == 1  # all but the root itself
+
+
+def test_choices_of_blocks_meet():
+    dice = random.Random(8)
+    for _ in range(300):
+        free = dice.getrandbits(64) | 0x3F
+        apart = sum(1 << b for b in dice.sample([b for b in range(64) if free >> b & 1], 3))
+        assert any(not apart & mask for mask in simhash._choices(free, 6, 3))
+
+
 def test_null_ids_and_empty_table(documents):
     docs = documents((None, "a b c d"), (None, "a b c d"), (7, "a b c d"), (None, "other words here now"), (8, None))
     got = sorted(
