@@ -15,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardroll.llm import exact_dedup, near_copies, packing, quality_gam, toxicity
-from boardroll.llm.common import remainder, stage
+from boardroll.llm import exact_dedup, packing, quality_gam, simhash, toxicity
+from boardroll.llm.common import release, remainder, stage, staged, unstage
 
 QUALITY_FROM = 0.7
 TOXIC_FROM = 0.5
+NEAR_BITS = 3
+NEAR_SHINGLE = 3
 ORACLE_SQL = None
 
 
@@ -43,8 +45,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of texts of 0.8 or more alike."""
-    return near_copies.without_near_copies(docs)
+    """One document, that of the smallest id, of each group linked by SimHash.
+
+    Fingerprints of three-word shingles link at three or fewer differing bits, as in op10.
+    """
+    return simhash.without_near_duplicates(docs, NEAR_BITS, NEAR_SHINGLE)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +70,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``; every stage's result is staged as Parquet."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        before = staged(spark)
+        result = stage(step(spark, docs, sf_dir), name)
+        release(spark, since=before, but=result)  # the stage's own tables, once it is written
+        unstage(docs)
+        docs = result
     return docs
