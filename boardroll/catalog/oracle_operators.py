@@ -176,6 +176,15 @@ OPERATOR_ORACLES = {
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= day""",
     "running_peak": f"""
         SELECT o_orderkey, o_orderpriority, max(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY day, o_orderkey) AS peak FROM {_ORDERS} AS o""",
+    "snapshot_refresh": f"""
+        SELECT o_orderkey, o_custkey, o_totalprice, {sy('o_orderdate')} AS school_year FROM orders""",
+    "lookup_by_filter": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_partkey BETWEEN 1 AND 20",
+    "bucketed_join": "SELECT o_custkey AS custkey, o_orderkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey",
+    "stamped_table": "SELECT n_nationkey, n_name, '2021-07-01 05:00:00' AS ended FROM nation",
+    "seed_by_header": """
+        SELECT s_suppkey, CASE WHEN n_regionkey <> 1 THEN 'region, ' || n_regionkey END AS descr,
+               CASE WHEN n_regionkey <> 1 THEN n_regionkey % 2 = 0 END AS is_qualified
+        FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey""",
     "point_in_time_pick": f"""
         SELECT o_custkey, CAST(y.y AS INTEGER) AS year, o_orderkey, o_totalprice FROM {_ORDERS} AS o
         JOIN (SELECT unnest(generate_series(1995, 2000)) AS y) AS y ON o.day <= make_date(y.y, 9, 30)
