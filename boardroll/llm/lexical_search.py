@@ -201,7 +201,7 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
     return found["docs"], found["terms"]
 
 
-def build_index(docs: DataFrame, segment_docs: int = 4096, segment_cells: int = 500_000) -> Index:
+def build_index(docs: DataFrame, segment_docs: int = 2048, segment_cells: int = 250_000) -> Index:
     """Index every row of ``docs`` (doc_id, text); a segment ends at either bound."""
     n_docs, n_terms = corpus_size(docs)
 
