@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -133,3 +134,28 @@ def test_pair_tables_learn_an_interaction():
     model = quality_gam.fit(x, y, np.ones(3000), rounds=20)
     # One cell of the pair grid (1/16 of an axis) may straddle each cut.
     assert (0, 1) in model.pairs and np.mean((model.score(x) > 0.5) == y) > 0.95
+
+
+def test_toxicity_scores_against_plain_sums(documents):
+    model = toxicity.Model(-0.7, {f: ((f % 13) - 6) / 10 for w in ("these", "villains", "go") for f in toxicity.features(w)})
+    texts = ["These villains go", "go GO gone", "", None, "nothing told", "the these, theses!", "villains " * 5000]
+    got = {r.doc_id: r.score for r in toxicity.score(documents(*enumerate(texts)), model).collect()}
+    for k, text in enumerate(texts):
+        told = {f for w in toxicity.words(text or "") for f in toxicity.features(w)}
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-model.bias - sum(model.weights.get(f, 0.0) for f in told))))
+
+
+def test_quality_scores_against_table_lookups(documents):
+    """Every score is the start plus one cell of each feature's and of each pair's table."""
+    rng = np.random.default_rng(2)
+    width = len(quality_gam.FEATURES)
+    x = rng.normal(size=(300, width))
+    model = quality_gam.fit(x, (x[:, 0] * x[:, 1] > 0).astype(float), np.ones(300), rounds=10, pair_rounds=10)
+    texts = ["A plain text, of two lines.\nHere it ends.", "", None, "x " * 3000, "!!! ???"]
+    got = {r.doc_id: r.score for r in quality_gam.score(documents(*enumerate(texts)), model).collect()}
+    for k, text in enumerate(texts):
+        own = quality_gam.statistics(text or "")
+        bins = [sum(edge <= value for edge in edges) for edges, value in zip(model.edges, own, strict=True)]
+        total = model.start + sum(t[b] for t, b in zip(model.tables, bins, strict=True))
+        total += sum(t[bins[i] // model.coarse][bins[j] // model.coarse] for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-total)))

@@ -59,3 +59,42 @@ def test_fit_is_tight():
     assert cost < 0.9 * len(single) * packing.COSTS[8192]
     bound = lengths.sum() * min(c / n for n, c in packing.COSTS.items())
     assert cost < 1.25 * bound
+
+
+def slow_pack(lengths, costs):
+    """Plain best fit: every open bin is looked at for every rest; (bin of each, contents of each bin)."""
+    rooms, filled, stamps, where = [], [], [], []
+    for k, length in enumerate(lengths):
+        fitting = [b for b, room in enumerate(rooms) if room >= length]
+        if fitting:  # the fullest; of equals the one that was filled last
+            at = min(fitting, key=lambda b: (rooms[b], -stamps[b]))
+        else:
+            coming = sorted(lengths[k + 1 :], reverse=True)
+
+            def worth(size, length=length, coming=coming):
+                held, room, used, last = length, size - length, 0, None
+                for rest in coming:
+                    if rest <= room and (rest == last or used < 8):
+                        used, last = used + (rest != last), rest
+                        held, room = held + rest, room - rest
+                return costs[size] / held, size
+
+            at = len(rooms)
+            rooms.append(min((s for s in costs if s >= length), key=worth))
+            filled.append(0)
+            stamps.append(0)
+        rooms[at] -= length
+        filled[at] += length
+        stamps[at] = k
+        where.append(at)
+    return where, [min((s for s in costs if s >= f), key=lambda s: (costs[s], s)) for f in filled]
+
+
+def test_blocks_against_a_plain_best_fit():
+    rng = np.random.default_rng(12)
+    for most in (4, 9, 20, 32):
+        for n in (0, 1, 7, 60, 150):
+            lengths = np.sort(rng.integers(1, most + 1, n))[::-1]
+            numbers, _, capacity = packing.pack_block(lengths, COSTS)
+            where, sizes = slow_pack(lengths.tolist(), COSTS)
+            assert numbers.tolist() == where and capacity.tolist() == sizes, (most, n)

@@ -58,3 +58,23 @@ def test_nulls_repeats_few_rows_and_empty_table(documents):
 def test_dot_product_rule():
     shard, taken = sharding.place(np.array([[6.0, 0, 0], [0, 6.0, 0], [1.0, 0, 0]]), np.array([[5.0, 5, 5], [9, 1, 5]]))
     assert shard.tolist() == [1, 0, 0] and taken[1, 0] == 6
+
+
+def test_placing_against_plain_loops():
+    """Largest group first, to the shard of the greatest dot product with what it still takes."""
+    dice = random.Random(11)
+    for n in (0, 1, 40):
+        groups = [[float(dice.randint(0, 50)) for _ in range(3)] for _ in range(n)]
+        capacity = [[sum(g[d] for g in groups) / 5 for d in range(3)] for _ in range(5)]
+        mean = [max(sum(c[d] for c in capacity) / 5, 1e-12) for d in range(3)]
+        scale = [w**0.5 / m for w, m in zip(sharding.WEIGHTS, mean, strict=True)]
+        room = [[c[d] * scale[d] for d in range(3)] for c in capacity]
+        want = [0] * n
+        for k in sorted(range(n), key=lambda k: -max(groups[k][d] * scale[d] for d in range(3))):
+            need = [groups[k][d] * scale[d] for d in range(3)]
+            dots = [sum(a * b for a, b in zip(r, need, strict=True)) for r in room]
+            want[k] = max(range(5), key=lambda s: (round(dots[s], 9), -s))
+            room[want[k]] = [a - b for a, b in zip(room[want[k]], need, strict=True)]
+        got, taken = sharding.place(np.array(groups).reshape(n, 3), np.array(capacity))
+        assert got.tolist() == want
+        assert all(taken[s].tolist() == [sum(groups[k][d] for k in range(n) if want[k] == s) for d in range(3)] for s in range(5))
