@@ -24,7 +24,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -189,6 +189,7 @@ def _calibrated(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray, size: in
     if not size or min((y == 0).sum(), (y == 1).sum()) < folds:
         return bias, w
     fold, margin = np.arange(len(y)) % folds, np.empty(len(y))
+    options = {"steps": 150} | options  # enough to part the classes
     for k in range(folds):
         own, rest = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
         b, v = fit([x[r] for r in rest], y[rest], weight[rest], size, swaps, **options)
@@ -233,18 +234,27 @@ def train(
     fields = [StructField("x", listed), StructField("swaps", ArrayType(change))]
     table = stage(map_texts(sample, work, fields, keys=["doc_id", "label"]), "toxic-features")
     chosen = _telling(table, most_features)
-    place = {f: n for n, f in enumerate(chosen)}
-    kept = F.array(*[F.lit(f) for f in chosen]) if chosen else F.array().cast("array<int>")
-    only = lambda f: F.array_intersect(f, kept)
-    small = F.transform("swaps", lambda s: F.struct(only(s["gone"]).alias("gone"), only(s["come"]).alias("come")))
-    rows = table.orderBy(F.xxhash64("doc_id"), "doc_id").select("label", only(F.col("x")).alias("x"), small.alias("swaps")).collect()
-    y = np.array([r["label"] for r in rows], np.float64)
-    x = [np.array([place[f] for f in r["x"]], np.int64) for r in rows]
-    met = [(s["gone"], s["come"], 1 / (len(rows) * len(r["swaps"]))) for r in rows for s in r["swaps"]]
-    at = lambda told: [[place[f] for f in fs] for fs in told]
-    swaps = Swaps(at([m[0] for m in met]), at([m[1] for m in met]), [m[2] for m in met])
+    shared = share(docs, np.array(chosen, np.int64))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The same rows with the places of chosen features for features."""
+        known = {f: n for n, f in enumerate(shared().tolist())}
+        own = lambda told: [known[f] for f in told if f in known]
+        for batch in batches:
+            x = [own(told) for told in batch.column(2).to_pylist()]
+            swaps = [[{k: own(s[k]) for k in ("gone", "come")} for s in told] for told in batch.column(3).to_pylist()]
+            columns = [batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.int32())), pa.array(swaps, changes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "x", "swaps"])
+
+    few = stage(table.mapInArrow(placed, table.schema), "telling-features")
+    rows = few.orderBy(F.xxhash64("doc_id"), "doc_id").drop("doc_id").toArrow()
+    y = rows.column("label").to_numpy().astype(np.float64)
+    x = [told.values.to_numpy() for told in rows.column("x")]
+    told = rows.column("swaps").to_pylist()
+    met = [(s["gone"], s["come"], 1 / (len(y) * len(own))) for own in told for s in own]
+    swaps = Swaps([m[0] for m in met], [m[1] for m in met], [m[2] for m in met])
     bias, w = _calibrated(x, y, class_weights(y, sizes), len(chosen), swaps, folds, **options)
-    unstage(table)
+    unstage(table, few)
     return Model(bias, dict(zip(chosen, w.tolist(), strict=True)))
 
 

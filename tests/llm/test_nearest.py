@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from boardroll.llm import nearest as nn
 from boardroll.llm import queries
 
-SMALL = nn.Shape(degree=10, sample=6, trees=2, leaf=40)
+SMALL = nn.Shape(degree=10, sample=6, trees=2, leaf=40, rounds=4)
 
 
 def slow(rows, wanted, k):
@@ -66,7 +66,7 @@ def test_pairs_keep_the_nearest_of_each():
 def test_recall_and_scores(vectors):
     """Random vectors, the hardest kind, with far more than one group a deal."""
     rng = np.random.default_rng(5)
-    rows = [(int(k), plain(x)) for k, x in enumerate(rng.normal(size=(700, 12)))]
+    rows = [(int(k), plain(x)) for k, x in enumerate(rng.normal(size=(400, 12)))]
     frame = vectors(rows)
     got = found(frame, F.col("vec_id") % 20 == 0, 10, pool=80, opened=20)
     exact = slow(rows, lambda i: i % 20 == 0, 10)
