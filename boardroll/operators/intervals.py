@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardroll.functions import school_year
+from boardroll.operators.dealing import dealt
 from boardroll.operators.scan import CHUNK_ROWS, carry_forward, running_max
 
 _EPOCH = date(1970, 1, 1)
@@ -47,12 +48,14 @@ def point_in_interval_join(
     end: str,
     how: str = "inner",
     buckets: Buckets = Buckets(),
+    fine: bool = False,
 ) -> DataFrame:
     """Join each point to the intervals of its key that hold it, both ends included.
 
     Points and intervals also meet on a time bucket, so a hot key is spread over its
     buckets and a point is compared only with intervals near it. A point has exactly one
-    bucket, so left joins stay exact. ``start`` and ``end`` are not returned.
+    bucket, so left joins stay exact. ``start`` and ``end`` are not returned. ``fine`` deals both
+    sides to many partitions (``dealt``), for two large sides without hot keys.
     """
     left = points.withColumn("_bucket", buckets.of(F.col(at)))
     right = (
@@ -60,6 +63,8 @@ def point_in_interval_join(
         .withColumn("_bucket", F.explode(buckets.touched(F.col("_start"), F.col("_end"))))
         .withColumnsRenamed({key: f"_k_{key}" for key in [*keys, "_bucket"]})
     )
+    if fine:
+        left, right = dealt(left, *keys, "_bucket"), dealt(right, *[f"_k_{key}" for key in [*keys, "_bucket"]])
     on = [F.col(key) == F.col(f"_k_{key}") for key in [*keys, "_bucket"]]
     on.append(F.col(at).between(F.col("_start"), F.col("_end")))
     return left.join(right, on, how).drop(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardroll.functions import concat_blank, insert_at, is_blank, paid_hours, ratio
-from boardroll.operators import Buckets, allocate, point_in_interval_join
+from boardroll.operators import Buckets, allocate, dealt, point_in_interval_join
 from boardroll.params import Params
 from boardroll.sources import flag_codes
 
@@ -77,7 +77,7 @@ def employment_perimeter(
         .when(F.col("trait_spec") == "2", F.lit(0.0))
         .otherwise(F.lit(100.0))
     )
-    return rows.select(
+    known = rows.select(
         "matr",
         "date_eff",
         "date_fin",
@@ -92,7 +92,9 @@ def employment_perimeter(
         "pourc_post",
         "pourc_temp",
         missing.alias("pourc_sabbatique_manquant"),
-    ).distinct()
+    )
+    # Dealt anew: else the rows would stay where the join by status, of which there are few, put them.
+    return dealt(known, "matr", "date_eff", "ref_empl").distinct()
 
 
 def account_splits(splits: DataFrame, params: Params) -> DataFrame:
@@ -189,6 +191,7 @@ def paid_hours_by_account(
         "date_eff",
         "date_fin",
         buckets=Buckets(last=params.as_of),
+        fine=True,
     )
     hours = paid_hours("mode", "nb_unit", "hntj", "nb_hres_an")
     missing = F.col("pourc_sabbatique_manquant")

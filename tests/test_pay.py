@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from boardroll.params import Params
 from boardroll.plans import pay
@@ -104,3 +105,20 @@ def test_paid_hours(frame, classes, statuses):
     total = sum(r.nombre_heures_remun for r in report.collect())
     assert total == 6 + 4 + 13 + 2 + 2 + 60
     assert sum(r.equivalent_temps_plein for r in report.collect()) == pytest.approx(total / 1826.3)
+
+
+def test_perimeter_is_spread_whatever_the_statuses(frame, classes, statuses, spark):
+    """The rows of one status are not gathered in one task."""
+    jobs = frame(JOBS, *[job(f"m{n}") for n in range(200)])
+    with_small_broadcasts = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"}
+    before = {k: spark.conf.get(k, None) for k in with_small_broadcasts}
+    for k, v in with_small_broadcasts.items():
+        spark.conf.set(k, v)
+    try:
+        got = pay.employment_perimeter(jobs, classes, statuses, PARAMS)
+        held = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(held) == 200
+    assert max(held) < 20
