@@ -380,6 +380,11 @@ RULES = {name: _sql(text) for name, text in _RULES.items()}
 # Derived inputs that several others of a query are made of; each is computed once.
 _SHARED = ("src_visits", "src_lines")
 
+# Tables that a shared input joins, dealt by order beforehand where they are large: what a task
+# sorts, and what it keeps, is then no more than about so many rows.
+_DEALT = {"src_lines": {"lineitem": "l_orderkey", "orders": "o_orderkey"}}
+_ROWS = 250_000
+
 _EACH = re.compile(r"@each\((.*?)\)@")
 
 
@@ -406,6 +411,19 @@ class Derived:
                 frame = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
             else:
                 text = _EACH.sub(r"explode(array(\1))", RULES[name])
-                frame = self._spark.sql(text, **{n: self[n] for n in dict.fromkeys(_needs(text))})
+                frame = self._spark.sql(text, **{n: self._needed(n, name) for n in dict.fromkeys(_needs(text))})
+            if name == "src_visits" and (parts := self._parts("orders")) > 1:
+                frame = frame.repartition(parts, "k")
             self._frames[name] = frame.persist() if name in _SHARED else frame
         return self._frames[name]
+
+    def _needed(self, name: str, by: str) -> DataFrame:
+        """An input as ``by`` reads it."""
+        keys = _DEALT.get(by, {})
+        if name in keys and (parts := max(self._parts(n) for n in keys)) > 1:
+            return self[name].repartition(parts, keys[name])
+        return self[name]
+
+    def _parts(self, table: str) -> int:
+        """Partitions for about ``_ROWS`` rows of a table each; Parquet files know their count."""
+        return -(-self[table].count() // _ROWS)
