@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boardroll.operators.dealing import dealt
+
 
 def headcount(
     df: DataFrame,
@@ -25,8 +27,9 @@ def headcount(
     ``lowest`` and ``highest`` columns come out as the min and max over the rows that
     enter that day or, when nobody enters, over those that leave.
 
-    Moves are reduced to one row per (keys, day) before the running sum, so its window
-    holds at most one row per calendar day.
+    Stays are dealt by key and member, which serves the counting of a member's moves too; moves are
+    reduced to one row per (keys, day) before the running sum, so its window holds at most
+    one row per calendar day.
     """
     move = F.explode(
         F.array(
@@ -34,7 +37,8 @@ def headcount(
             F.struct(F.col(end).alias("day"), F.lit(-1).alias("sign")),
         )
     )
-    moves = df.select(*keys, member, *lowest, *highest, move.alias("_move")).select(
+    stays = dealt(df.select(*keys, member, start, end, *lowest, *highest), *keys, member)
+    moves = stays.select(*keys, member, *lowest, *highest, move.alias("_move")).select(
         *keys,
         member,
         *lowest,
