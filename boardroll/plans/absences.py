@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardroll.functions import cap, concat_blank, french_weekday, ratio, school_year
-from boardroll.operators import carry_forward, headcount, island_ids, point_in_interval_join
+from boardroll.operators import carry_forward, dealt, headcount, island_ids, point_in_interval_join
 from boardroll.params import Params
 
 # Labels and codes shown in the tables.
@@ -103,10 +103,11 @@ def absences_daily(
         "fiche", "id_eco", "grille", F.coalesce(group_of(params), F.lit(NO_GROUP)).alias("groupe")
     )
     # The whole day is summed in periods and divided once, so that thirds of a day add up
-    # to exactly 100 %.
+    # to exactly 100 %. Rows dealt by pupil and school serve the join, the window and the grouping.
     same_day = Window.partitionBy("date_abs", "fiche", "id_eco")
     measured = (
-        counted.join(placed, ["fiche", "id_eco"])
+        dealt(counted, "fiche", "id_eco")
+        .join(dealt(placed, "fiche", "id_eco"), ["fiche", "id_eco"])
         .join(expected_periods(calendar, params), ["id_eco", "date_abs", "grille"])
         .filter("n_expected > 0")
         .withColumn("by_subject", F.col("n_events") * 100.0 / F.col("n_expected"))
@@ -130,7 +131,7 @@ def absences_daily(
         "fiche", "id_eco", "etape", "etape_description", "seq_etape", "date_debut", "date_fin"
     )
     return point_in_interval_join(
-        by_subject, spans, ["fiche", "id_eco"], "date_abs", "date_debut", "date_fin", how="left"
+        by_subject, spans, ["fiche", "id_eco"], "date_abs", "date_debut", "date_fin", how="left", fine=True
     ).select(
         school_year("date_abs", ABSENCE_PIVOT_MONTH).alias("school_year"),
         "date_abs",
