@@ -8,7 +8,7 @@ are cut into pieces into which the scan's state is carried (``scan``).
 
 from boardroll.operators.allocation import allocate
 from boardroll.operators.cubes import UNKNOWN, labelled_cube, row_cube
-from boardroll.operators.dealing import dealt
+from boardroll.operators.dealing import dealt, join_codes
 from boardroll.operators.filling import dense_days, fill_missing
 from boardroll.operators.flags import resolve_flag
 from boardroll.operators.headcount import headcount
@@ -40,6 +40,7 @@ __all__ = [
     "Buckets",
     "allocate",
     "dealt",
+    "join_codes",
     "as_of_join",
     "carry_forward",
     "changes_to_intervals",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PARTS = 96
 
@@ -16,3 +17,15 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """
     own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(PARTS, own), *keys)
+
+
+def join_codes(df: DataFrame, codes: DataFrame, column: str, *spread: str, how: str = "inner") -> DataFrame:
+    """Join a large table to a small one on a code of few values, ``column`` on both sides.
+
+    Where the codes are not broadcast, a join by the code alone gathers and sorts all rows of a code
+    in one task. Here the rows of a code are spread over ``PARTS`` groups by the hash of the columns
+    ``spread``, and every code is given to each group, so a row still meets each of its codes once.
+    """
+    group = F.pmod(F.xxhash64(*spread), F.lit(PARTS)).cast("int")
+    copied = codes.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return df.withColumn("_group", group).join(copied, [column, "_group"], how).drop("_group")

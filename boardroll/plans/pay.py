@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardroll.functions import concat_blank, insert_at, is_blank, paid_hours, ratio
-from boardroll.operators import Buckets, allocate, dealt, point_in_interval_join
+from boardroll.operators import Buckets, allocate, dealt, join_codes, point_in_interval_join
 from boardroll.params import Params
 from boardroll.sources import flag_codes
 
@@ -44,7 +44,7 @@ def employment_perimeter(
         {"nb_hres_an": "class_hours", "date_fin": "class_end"}
     )
     special = statuses.select(F.col("etat_empl").alias("etat"), "trait_spec")
-    rows = point_in_interval_join(
+    classed = point_in_interval_join(
         jobs.filter(~F.col("stat_eng").rlike(IGNORED_ENGAGEMENT)),
         dated,
         ["corp_empl"],
@@ -52,7 +52,8 @@ def employment_perimeter(
         "date_deb",
         "class_end",
         buckets=Buckets(last=params.as_of),
-    ).join(special, "etat")
+    )
+    rows = join_codes(classed, special, "etat", "matr", "date_eff", "ref_empl")
     job = F.col("corp_empl")
     weekly = (F.lower("mode") == "h") & (F.col("nb_hre_sem") != 0)
     per_day = (
@@ -127,7 +128,7 @@ def pay_kind(code: Column) -> Column:
 def _counted_payments(
     payments: DataFrame, payment_codes: DataFrame, absence_reasons: DataFrame
 ) -> DataFrame:
-    """Payment lines that are paid hours; all but the two key joins reach the scan."""
+    """Payment lines that are paid hours; all but the join to the codes that count reach the scan."""
     code, origin = F.col("code_pmnt"), F.col("code_prov")
     special = code == SPECIAL_CODE
     counted = (
@@ -138,14 +139,14 @@ def _counted_payments(
     exempted = absence_reasons.select(F.col("code_pmnt_a_exonerer").alias("code_pmnt")).filter(
         F.col("code_pmnt").startswith(EXEMPTED_PREFIX)
     )
-    return (
+    paid = payment_codes.select("code_pmnt").join(exempted, "code_pmnt", "left_anti")
+    lines = (
         payments.filter(F.left("corp_empl", F.lit(1)).isin(*PAID_PREFIXES))
         .filter(~is_blank("mode"))
         .withColumn("typeremun", pay_kind(code))
         .filter(F.col("typeremun").isNotNull() & counted)
-        .join(payment_codes.select("code_pmnt"), "code_pmnt", "left_semi")
-        .join(exempted, "code_pmnt", "left_anti")
     )
+    return join_codes(lines, paid, "code_pmnt", "matr", "no_cheq", "no_seq", how="left_semi")
 
 
 def paid_hours_by_account(
@@ -236,7 +237,7 @@ def paid_hours_by_account(
     accounts = splits.select("matr", "no_cheq", "no_seq", "no_cmpt", "lieu_trav_cpt_budg", "mnt_dist")
     split = measured.join(accounts, ["matr", "no_cheq", "no_seq"])
     shared = allocate(
-        flag_codes(split, kept_zero_codes, "code_pmnt", "kept"),
+        flag_codes(split, kept_zero_codes, "code_pmnt", "kept", "matr", "no_cheq", "no_seq", "no_cmpt"),
         ["an_budg", "no_cheq", "matr", "no_seq"],
         quantity="hours",
         part="mnt_dist",

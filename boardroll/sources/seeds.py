@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from boardroll.operators.dealing import join_codes
 from boardroll.sources.registry import SEEDS
 
 _CORRUPT = "_corrupt_record"
@@ -54,12 +55,16 @@ def read_seed(spark: SparkSession, name: str, path: str | None) -> DataFrame:
     return rows.select(*typed)
 
 
-def flag_codes(df: DataFrame, codes: DataFrame, column: str, name: str) -> DataFrame:
+def flag_codes(df: DataFrame, codes: DataFrame, column: str, name: str, *spread: str) -> DataFrame:
     """Flag rows whose ``column`` is among the codes of a seed; an empty seed flags none.
 
-    The list stays a joined frame: it is not collected to build a literal list.
+    The list stays a joined frame: it is not collected to build a literal list. The rows of a
+    code are spread by the columns ``spread``, if any, as ``join_codes`` does.
     """
     listed = codes.select(F.col(codes.columns[0]).alias("_code")).distinct()
+    if spread:
+        flagged = join_codes(df.withColumn("_code", F.col(column)), listed.withColumn(name, F.lit(True)), "_code", *spread, how="left")
+        return flagged.withColumn(name, F.col(name).isNotNull()).select(*df.columns, name)
     return (
         df.join(listed, F.col(column) == F.col("_code"), "left")
         .withColumn(name, F.col("_code").isNotNull())

@@ -1,10 +1,14 @@
 """Steps over large inputs deal their rows to many partitions, whatever adaptive execution would merge."""
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from boardroll.catalog import derived
-from boardroll.operators import dealt, headcount, point_in_interval_join
+from boardroll.operators import dealt, headcount, join_codes, point_in_interval_join
 from boardroll.operators.dealing import PARTS
+from boardroll.plans import pay
+from boardroll.sources import flag_codes
 
 
 def _dealings(df):
@@ -49,3 +53,61 @@ def test_large_orders_and_lines_are_dealt_by_order(spark, tmp_path, monkeypatch)
     assert _dealings(cut["src_lines"]) or cut["src_lines"].rdd.getNumPartitions() == 8
     assert cut["src_visits"].rdd.getNumPartitions() == 3
     spark.catalog.clearCache()
+
+
+@pytest.fixture
+def sorted_joins(spark):
+    """Joins by sorting over 50 partitions that are not merged."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "50",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _held(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_codes_gives_the_rows_of_a_plain_join(frame, how):
+    big = frame("code string, k int", ("a", 1), ("a", 1), ("a", None), ("b", 2), (None, 3), ("c", 4))
+    small = frame("code string, v int", ("a", 1), ("a", 2), ("b", None), (None, 9), ("d", 5))
+    got, plain = join_codes(big, small, "code", "k", how=how), big.join(small, "code", how)
+    assert got.columns == plain.columns
+    assert rows(got) == rows(plain)
+
+
+def test_flag_codes_flags_the_same_rows_when_spread(frame):
+    big = frame("k int, code string", (1, "a"), (1, "a"), (None, "b"), (2, None), (3, "c"))
+    for listed in ([("a", 1), ("a", 2), (None, 3)], [(None, 3)], []):
+        codes = frame("code string, v int", *listed)
+        got, plain = flag_codes(big, codes, "code", "kept", "k"), flag_codes(big, codes, "code", "kept")
+        assert got.columns == plain.columns
+        assert rows(got) == rows(plain)
+
+
+def test_lines_of_one_code_are_not_gathered_in_one_task(spark, sorted_joins):
+    """Neither by the lookup of codes that count, nor by the flag of kept codes."""
+    lines = spark.range(2000).selectExpr(
+        "CAST(id AS STRING) AS matr", "CAST(id AS STRING) AS no_cheq", "1 AS no_seq", "'101000' AS code_pmnt", "'3100' AS corp_empl",
+        "'H' AS mode", "CAST(1 AS DECIMAL(12,4)) AS nb_unit", "'B1' AS code_prov",
+    )
+    codes, none = spark.sql("SELECT '101000' AS code_pmnt"), spark.sql("SELECT '103600' AS code_pmnt_a_exonerer")
+    for spread in (pay._counted_payments(lines, codes, none), flag_codes(lines, codes, "code_pmnt", "kept", "matr", "no_cheq")):
+        held = _held(spread)
+        assert sum(held) == 2000
+        assert max(held) < 400
+
+
+def test_jobs_of_one_status_are_not_gathered_in_one_task(spark, sorted_joins):
+    jobs = spark.range(2000).selectExpr("CAST(id AS STRING) AS matr", "'A1' AS etat")
+    statuses = spark.sql("SELECT 'A1' AS etat, '0' AS trait_spec")
+    held = _held(join_codes(jobs, statuses, "etat", "matr"))
+    assert sum(held) == 2000
+    assert max(held) < 400
