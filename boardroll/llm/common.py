@@ -6,6 +6,7 @@ import gc
 import pickle
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 _ROWS_AT_ONCE = 512
+_SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.parquet.columnarReaderBatchSize": "256"}
 _made: dict[str, list[str]] = {}
 
 
@@ -33,17 +35,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **layout: object) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage: what follows re-reads files instead of repeating the work when
     an executor is lost, and the planner knows the table's size. ``release`` deletes the
-    tables that a session has staged.
+    tables that a session has staged. ``layout`` are options of the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/boardroll-{name}-{uuid.uuid4().hex}"
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
+    df.write.options(**layout).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged = path
     return table
@@ -91,6 +93,23 @@ def give_up_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows reach and leave Python in batches of a few MB, whatever the session says, for what runs meanwhile.
+
+    By default a batch holds 64 MB, and while its buffers are doubled a task holds three times that
+    outside the heap; and 4,096 rows are decoded at once, however long their texts.
+    """
+    before = {key: spark.conf.get(key) for key in _SMALL_BATCHES}
+    for key, value in _SMALL_BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def text_of(docs: DataFrame, column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))

@@ -20,7 +20,7 @@ a term and tf its occurrences there: m = 10 + (90 n N) div L, impact = (10^9 tf)
 (1000 tf + 8 m), weight = floor(1000 ln((2 N + 2) / (2 df + 1))), score = sum of weight * impact.
 
 At scale: texts are read twice (N and L, then the index) and not shuffled; a segment is built and
-searched in one task's memory; weights join the index's term counts to the items' terms by shuffle.
+searched in one task's memory, segments are written, read and sent to Python a few at a time; weights join the index's term counts to the items' terms by shuffle.
 Items go to the tasks in blocks of about ``block`` items, and each block reads the index once. Each
 task returns at most k rows an item.
 
@@ -44,11 +44,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from boardroll.llm.common import map_texts, share, stage
+from boardroll.llm.common import map_texts, share, small_batches, stage
 
 _STEP = 16  # impacts are under 10^6, so a rounded maximum fits 16 bits
 _BITS = np.array([bin(k).count("1") for k in range(16)], np.int64)
 _LAST = np.iinfo(np.int64).max
+# A segment's row has MBs; by default a task would gather 128 MB of them to write, and decode as much at once to read.
+_ROW_GROUPS = {"parquet.block.size": 8 << 20, "parquet.block.row.count.limit": 8, "parquet.page.size.row.check.min": 1}
 
 
 def _is_term(code: int) -> bool:
@@ -203,6 +205,11 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
 
 def build_index(docs: DataFrame, segment_docs: int = 2048, segment_cells: int = 250_000) -> Index:
     """Index every row of ``docs`` (doc_id, text); a segment ends at either bound."""
+    with small_batches(docs.sparkSession):
+        return _built(docs, segment_docs, segment_cells)
+
+
+def _built(docs: DataFrame, segment_docs: int, segment_cells: int) -> Index:
     n_docs, n_terms = corpus_size(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +225,7 @@ def build_index(docs: DataFrame, segment_docs: int = 2048, segment_cells: int =
             yield builder.segment()
 
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return Index(stage(columns.mapInArrow(run, SEGMENT), "treaps"), n_docs, n_terms)
+    return Index(stage(columns.mapInArrow(run, SEGMENT), "treaps", **_ROW_GROUPS), n_docs, n_terms)
 
 
 def weighted_terms(index: Index, items: DataFrame) -> DataFrame:
@@ -379,6 +386,11 @@ def search(index: Index, items: DataFrame, k: int = 10, block: int = 512) -> Dat
 
     ``items`` has item_id and text.
     """
+    with small_batches(items.sparkSession):
+        return _ranked(index, items, k, block)
+
+
+def _ranked(index: Index, items: DataFrame, k: int, block: int) -> DataFrame:
     weighed = stage(weighted_terms(index, items), "weighted-terms")
     blocks = max(1, -(-weighed.select("item_id").distinct().count() // block))
     own = F.pmod(F.xxhash64("item_id"), F.lit(blocks))

@@ -5,9 +5,12 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from boardroll.llm import lexical_search, queries
+from boardroll.llm.common import small_batches, stage
 from boardroll.llm.lexical_search import Treap, build_index, search
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -114,3 +117,44 @@ def test_query_equals_its_twin(spark):
         duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
     twin = duck.execute(f"SELECT item_id, rank, doc_id, score FROM ({queries.ORACLES['op11_lexical_search']})").fetchall()
     assert rows(queries.QUERIES["op11_lexical_search"](spark, "/root/testdata/sf0.001")) == sorted(twin, key=str)
+
+
+def test_segments_are_stored_a_few_at_a_time(spark, documents):
+    docs = [(i, invented(i, 30)) for i in range(60)]
+    index = build_index(documents(*docs, parts=1), segment_docs=1)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.segments.inputFiles()]
+    groups = [m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)]
+    assert sum(groups) == 60
+    assert max(groups) <= 8
+
+
+def test_batches_to_python_are_small_and_the_session_is_left_as_it_was(spark):
+    texts = spark.range(3000, numPartitions=1).selectExpr("repeat('x', 10000) AS text")
+    asked = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(k) for k in asked]
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes for b in batches], pa.int64())], names=["n"])
+
+    with small_batches(spark):
+        held = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(held) >= 3000 * 10000
+    assert max(held) < 8 << 20
+    assert [spark.conf.get(k) for k in asked] == before
+    with pytest.raises(KeyError), small_batches(spark):
+        raise KeyError
+    assert [spark.conf.get(k) for k in asked] == before
+
+
+def test_index_and_search_run_in_small_batches(spark, documents, monkeypatch):
+    seen = []
+
+    def noted(df, name, **layout):
+        seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")))
+        return stage(df, name, **layout)
+
+    monkeypatch.setattr(lexical_search, "stage", noted)
+    found = search(build_index(documents((1, "a b"), (2, "b c"))), spark.createDataFrame([(7, "c")], "item_id long, text string"))
+    assert [r[2] for r in rows(found)] == [2]
+    assert {name for name, _ in seen} == {"treaps", "item-terms", "weighted-terms", "found"}
+    assert {size for _, size in seen} == {"4m"}
