@@ -8,7 +8,7 @@ are cut into pieces into which the scan's state is carried (``scan``).
 
 from boardroll.operators.allocation import allocate
 from boardroll.operators.cubes import UNKNOWN, labelled_cube, row_cube
-from boardroll.operators.dealing import dealt, join_codes
+from boardroll.operators.dealing import dealt, in_lanes, join_codes, laned, unlaned
 from boardroll.operators.filling import dense_days, fill_missing
 from boardroll.operators.flags import resolve_flag
 from boardroll.operators.headcount import headcount
@@ -36,16 +36,15 @@ from boardroll.operators.scan import carry_forward, previous_value, running_max,
 from boardroll.operators.survival import forecast_exits, survival_curve
 
 __all__ = [
-    "UNKNOWN",
     "Buckets",
+    "UNKNOWN",
     "allocate",
-    "dealt",
-    "join_codes",
     "as_of_join",
     "carry_forward",
     "changes_to_intervals",
     "clashing_intervals",
     "clip_interval",
+    "dealt",
     "decode",
     "dense_days",
     "duplicate_keys",
@@ -53,8 +52,11 @@ __all__ = [
     "fill_missing",
     "forecast_exits",
     "headcount",
+    "in_lanes",
     "island_ids",
+    "join_codes",
     "labelled_cube",
+    "laned",
     "latest",
     "merge_intervals",
     "not_in",
@@ -70,4 +72,5 @@ __all__ = [
     "running_sum",
     "survival_curve",
     "unexpected_values",
+    "unlaned",
 ]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardroll.functions import ratio
@@ -25,13 +26,15 @@ def allocate(
     equally over the line's kept zero parts whose total is zero too. A part equal to the
     total, or a zero total, takes the whole quantity.
 
-    Only kept zero parts are counted, which are few, and the counts joined back, so no
-    line is gathered in one window.
+    The kept zero parts of a line are counted in a window over the line, whose rows are read
+    once; a line with a null among its columns has none.
     """
     rows = df.withColumn("_keep", F.coalesce(keep_zero, F.lit(False)))
     is_zero = F.col("_keep") & (F.col(part) == 0) & (F.col(total) == 0)
-    zero_parts = rows.filter(is_zero).groupBy(*line).agg(F.count(F.lit(1)).alias("_n_zero"))
-    counted = rows.join(zero_parts, list(line), "left")
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in line])
+    number = F.count_if(is_zero).over(Window.partitionBy(*line))
+    rest = [c for c in rows.columns if c not in line]
+    counted = rows.select(*line, *rest, F.when(known & (number > 0), number).alias("_n_zero"))
     # Amounts are compared as they are but divided as doubles, whose scale is not fixed.
     whole, share = F.col(quantity).cast("double"), F.col(part).cast("double")
     given = (

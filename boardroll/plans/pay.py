@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardroll.functions import concat_blank, insert_at, is_blank, paid_hours, ratio
-from boardroll.operators import Buckets, allocate, dealt, join_codes, point_in_interval_join
+from boardroll.operators import Buckets, allocate, in_lanes, join_codes, laned, point_in_interval_join, unlaned
+from boardroll.operators.dealing import LANE
 from boardroll.params import Params
 from boardroll.sources import flag_codes
 
@@ -35,6 +36,9 @@ PAY_LABELS = {
 }
 ACCOUNT_DASHES = (4, 6, 12)
 
+# Rows without an employee are spread by these.
+_JOB, _LINE = ("date_eff", "ref_empl"), ("no_cheq", "no_seq")
+
 
 def employment_perimeter(
     jobs: DataFrame, job_classes: DataFrame, statuses: DataFrame, params: Params
@@ -53,7 +57,8 @@ def employment_perimeter(
         "class_end",
         buckets=Buckets(last=params.as_of),
     )
-    rows = join_codes(classed, special, "etat", "matr", "date_eff", "ref_empl")
+    # By employee, as what the jobs are joined to later; the rest of this happens in place.
+    rows = join_codes(laned(classed, "matr", otherwise=_JOB), special, "etat", "matr", *_JOB)
     job = F.col("corp_empl")
     weekly = (F.lower("mode") == "h") & (F.col("nb_hre_sem") != 0)
     per_day = (
@@ -93,16 +98,17 @@ def employment_perimeter(
         "pourc_post",
         "pourc_temp",
         missing.alias("pourc_sabbatique_manquant"),
+        LANE,
     )
-    # Dealt anew: else the rows would stay where the join by status, of which there are few, put them.
-    return dealt(known, "matr", "date_eff", "ref_empl").distinct()
+    return unlaned(known.distinct(), "matr", otherwise=_JOB)
 
 
 def account_splits(splits: DataFrame, params: Params) -> DataFrame:
     """Amount of each cheque line per account; the workplace is the account's prefix."""
-    return (
-        splits.filter(F.col("date_cheq") >= F.lit(params.pay_from))
-        .groupBy("matr", "date_cheq", "no_cheq", "no_seq", "no_cmpt")
+    kept = splits.filter(F.col("date_cheq") >= F.lit(params.pay_from))
+    summed = (
+        laned(kept.select("matr", "date_cheq", *_LINE, "no_cmpt", "mnt_dist"), "matr", otherwise=_LINE)
+        .groupBy("matr", "date_cheq", "no_cheq", "no_seq", "no_cmpt", LANE)
         .agg(F.sum("mnt_dist").alias("mnt_dist"))
         .select(
             "matr",
@@ -112,8 +118,10 @@ def account_splits(splits: DataFrame, params: Params) -> DataFrame:
             "no_cmpt",
             F.left("no_cmpt", F.lit(3)).alias("lieu_trav_cpt_budg"),
             "mnt_dist",
+            LANE,
         )
     )
+    return unlaned(summed, "matr", otherwise=_LINE)
 
 
 def pay_kind(code: Column) -> Column:
@@ -146,7 +154,8 @@ def _counted_payments(
         .withColumn("typeremun", pay_kind(code))
         .filter(F.col("typeremun").isNotNull() & counted)
     )
-    return join_codes(lines, paid, "code_pmnt", "matr", "no_cheq", "no_seq", how="left_semi")
+    # An inner join, as Spark would move a semi join to before the dealing.
+    return join_codes(laned(lines, "matr"), paid.distinct(), "code_pmnt", "matr", "no_cheq", "no_seq")
 
 
 def paid_hours_by_account(
@@ -164,35 +173,40 @@ def paid_hours_by_account(
 
     Hours of a deferred-pay sabbatical are scaled up to the work they stand for.
     ``kept_zero_codes`` lists the payments whose hours count although no money was paid.
+
+    Cheques, payments, jobs and splits are each dealt once, by employee, and all else happens in place: a
+    line meets every job of its place and day, and such rows are too many to be shuffled.
     """
     calendar = periods.filter(F.col("date_fin") >= F.lit(params.pay_from)).select(
         "gr_paie", "an_budg", "no_per", F.col("date_cheq").alias("period_cheq"),
         F.col("date_deb").alias("period_start"), F.col("date_fin").alias("period_end"),
     )
-    issued = (
-        cheques.filter(F.col("etat_cheq") == ISSUED)
-        .select("matr", "no_cheq", "date_cheq", "gr_paie", "an_budg", "no_per")
-        .join(calendar, ["gr_paie", "an_budg", "no_per"])
+    paid = cheques.filter(F.col("etat_cheq") == ISSUED).select(
+        "matr", "no_cheq", "date_cheq", "gr_paie", "an_budg", "no_per"
     )
+    issued = laned(paid, "matr").join(in_lanes(calendar), ["gr_paie", "an_budg", "no_per", LANE])
+    # Lines meet cheques of their day, so others than these days' need not be dealt.
+    days = issued.agg(F.struct(F.min("date_cheq").alias("first"), F.max("date_cheq").alias("last"))).scalar()
     lines = (
-        _counted_payments(payments, payment_codes, absence_reasons)
+        _counted_payments(
+            payments.filter(F.col("date_cheq").between(days["first"], days["last"])), payment_codes, absence_reasons
+        )
         .select(
             "matr", "no_cheq", "date_cheq", "no_seq", "code_pmnt", "ref_empl", "typeremun",
             "mode", "nb_unit", "mnt", "mnt_cour_trait_diff",
             F.col("corp_empl").alias("corp_emploi"), F.col("lieu_trav").alias("line_place"),
-            F.col("date_deb").alias("date_deb_pmnt"), F.col("date_fin").alias("date_fin_pmnt"),
+            F.col("date_deb").alias("date_deb_pmnt"), F.col("date_fin").alias("date_fin_pmnt"), LANE,
         )
-        .join(issued, ["matr", "no_cheq", "date_cheq"])
+        .join(issued, ["matr", "no_cheq", "date_cheq", LANE])
     )
     placed = point_in_interval_join(
         lines,
-        perimeter,
-        ["matr", "ref_empl"],
+        laned(perimeter, "matr", otherwise=_JOB),
+        ["matr", "ref_empl", LANE],
         "date_deb_pmnt",
         "date_eff",
         "date_fin",
         buckets=Buckets(last=params.as_of),
-        fine=True,
     )
     hours = paid_hours("mode", "nb_unit", "hntj", "nb_hres_an")
     missing = F.col("pourc_sabbatique_manquant")
@@ -232,13 +246,16 @@ def paid_hours_by_account(
         F.coalesce("line_place", "lieu_trav").alias("lieu_trav"),
         scaled.cast("decimal(7,2)").alias("hours"),
         (F.col("mnt") + F.col("mnt_cour_trait_diff")).alias("mnt_tot"),
+        LANE,
     )
     # Lines without an account are not reported, so an inner join keeps all that counts.
-    accounts = splits.select("matr", "no_cheq", "no_seq", "no_cmpt", "lieu_trav_cpt_budg", "mnt_dist")
-    split = measured.join(accounts, ["matr", "no_cheq", "no_seq"])
+    accounts = laned(splits, "matr", otherwise=_LINE).select(
+        "matr", "no_cheq", "no_seq", "no_cmpt", "lieu_trav_cpt_budg", "mnt_dist", LANE
+    )
+    split = measured.join(accounts, ["matr", "no_cheq", "no_seq", LANE])
     shared = allocate(
         flag_codes(split, kept_zero_codes, "code_pmnt", "kept", "matr", "no_cheq", "no_seq", "no_cmpt"),
-        ["an_budg", "no_cheq", "matr", "no_seq"],
+        ["an_budg", "no_cheq", "matr", "no_seq", LANE],
         quantity="hours",
         part="mnt_dist",
         total="mnt_tot",
@@ -246,13 +263,14 @@ def paid_hours_by_account(
         name="nb_hre_remun_dist",
     ).drop("kept", "hours", "mnt_tot")
     grain = [c for c in shared.columns if c not in ("nb_hre_remun_dist", "mnt_dist")]
-    return (
+    rows = (
         shared.groupBy(*grain)
         .agg(F.sum("nb_hre_remun_dist").alias("nb_hre_remun_dist"), F.sum("mnt_dist").alias("mnt_dist"))
         .filter(F.col("lieu_trav_cpt_budg").isNotNull() & (F.col("nb_hre_remun_dist") != 0))
         .withColumn("no_cmpt", insert_at("no_cmpt", "-", *ACCOUNT_DASHES))
         .withColumnRenamed("lieu_trav_cpt_budg", "unite_admin")
     )
+    return unlaned(rows, "matr")
 
 
 def admin_unit_names(units: DataFrame, remap: DataFrame | None = None) -> DataFrame:
@@ -276,6 +294,10 @@ def admin_unit_names(units: DataFrame, remap: DataFrame | None = None) -> DataFr
     ).distinct()
 
 
+# Labels of the full-time report that need no lookup.
+_PLACED = ("code_lieu_trav", "an_budg", "no_per", "type_remun")
+
+
 def full_time_report(
     hours: DataFrame,
     units: DataFrame,
@@ -287,9 +309,23 @@ def full_time_report(
 
     Hours are summed over the codes first and the lookups joined to that result. A label
     made of a code and a name is ' - ' when neither is known.
+
+    The hours are dealt once, by the labels that no lookup is needed for: rows of a label, and
+    so of a code, are then in one place, and the lookups come there.
     """
+    kind = F
+    for code, label in PAY_LABELS.items():
+        kind = kind.when(F.col("typeremun") == code, F.lit(label))
     coded = ["an_budg", "no_per", "no_cmpt", "corp_emploi", "unite_admin", "lieu_trav", "stat_eng", "typeremun"]
-    summed = hours.groupBy(*coded).agg(F.sum("nb_hre_remun_dist").alias("hours"))
+    known = {
+        "_year": concat_blank(F.left("an_budg", F.lit(4)), F.lit("-"), F.right("an_budg", F.lit(4))),
+        "_period": F.col("no_per").cast("int"),
+        "_kind": kind.otherwise(F.lit("-")),
+    }
+    placed = laned(
+        hours.select(*coded, "nb_hre_remun_dist").withColumns(known), "no_cmpt", "lieu_trav", *known, otherwise=["lieu_trav", *known]
+    )
+    summed = placed.groupBy(*coded, *known, LANE).agg(F.sum("nb_hre_remun_dist").alias("hours"))
     named_units = units.select(
         F.col("exer_fin").alias("an_budg"),
         F.col("current_lieu_trav").alias("unite_admin"),
@@ -299,33 +335,27 @@ def full_time_report(
     category = job_groups.select(F.col("job_group").alias("corp_emploi"), "job_group_category")
     classes = job_classes.select(F.col("corp_empl").alias("corp_emploi"), F.col("descr").alias("job_name"))
     statuses = engagements.select("stat_eng", "descr_stat_eng")
-    kind = F
-    for code, label in PAY_LABELS.items():
-        kind = kind.when(F.col("typeremun") == code, F.lit(label))
     dash = F.lit(" - ")
-    labelled = (
-        summed.join(named_units, ["an_budg", "unite_admin"], "left")
-        .join(category, "corp_emploi", "left")
-        .join(classes, "corp_emploi", "left")
-        .join(statuses, "stat_eng", "left")
-        .select(
-            concat_blank(F.left("an_budg", F.lit(4)), F.lit("-"), F.right("an_budg", F.lit(4))).alias(
-                "an_budg"
-            ),
-            F.col("no_per").cast("int").alias("no_per"),
-            "no_cmpt",
-            F.coalesce("job_group_category", F.lit("-")).alias("cat_emploi"),
-            concat_blank("corp_emploi", dash, "job_name").alias("corp_emploi"),
-            F.col("lieu_trav").alias("code_lieu_trav"),
-            F.col("new_unit").alias("unite_admin"),
-            concat_blank("new_unit", dash, "unit_name").alias("descr_unite_admin"),
-            concat_blank("stat_eng", dash, "descr_stat_eng").alias("stat_eng"),
-            kind.otherwise(F.lit("-")).alias("type_remun"),
-            "hours",
-        )
+    named = summed.join(in_lanes(named_units), ["an_budg", "unite_admin", LANE], "left")
+    for lookup, code in ((category, "corp_emploi"), (classes, "corp_emploi"), (statuses, "stat_eng")):
+        named = join_codes(named, lookup, code, how="left")
+    labelled = named.select(
+        F.col("_year").alias("an_budg"),
+        F.col("_period").alias("no_per"),
+        "no_cmpt",
+        F.coalesce("job_group_category", F.lit("-")).alias("cat_emploi"),
+        concat_blank("corp_emploi", dash, "job_name").alias("corp_emploi"),
+        F.col("lieu_trav").alias("code_lieu_trav"),
+        F.col("new_unit").alias("unite_admin"),
+        concat_blank("new_unit", dash, "unit_name").alias("descr_unite_admin"),
+        concat_blank("stat_eng", dash, "descr_stat_eng").alias("stat_eng"),
+        F.col("_kind").alias("type_remun"),
+        "hours",
+        LANE,
     )
     labels = [c for c in labelled.columns if c != "hours"]
-    return labelled.groupBy(*labels).agg(
+    rows = labelled.groupBy(*labels).agg(
         F.sum("hours").alias("nombre_heures_remun"),
         (F.sum("hours") / FULL_TIME_HOURS).alias("equivalent_temps_plein"),
     )
+    return unlaned(rows, "no_cmpt", *_PLACED, otherwise=_PLACED)

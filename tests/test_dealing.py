@@ -4,10 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from boardroll.catalog import derived
-from boardroll.operators import dealt, headcount, join_codes, point_in_interval_join
-from boardroll.operators.dealing import PARTS
+from boardroll.catalog import derived, plan_queries
+from boardroll.operators import allocate, dealt, headcount, in_lanes, join_codes, laned, point_in_interval_join, quality_report, unlaned
+from boardroll.operators.dealing import LANE, PARTS, grouped
 from boardroll.plans import pay
+from boardroll.plans.checks import CHECKS
 from boardroll.sources import flag_codes
 
 
@@ -111,3 +112,73 @@ def test_jobs_of_one_status_are_not_gathered_in_one_task(spark, sorted_joins):
     held = _held(join_codes(jobs, statuses, "etat", "matr"))
     assert sum(held) == 2000
     assert max(held) < 400
+
+
+def _shuffles(df):
+    """Shuffles by name: of the plan's own making, and by lane."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("direct_shuffle_partition_id")
+
+
+def test_laned_tables_and_lookups_meet_in_place(frame, sorted_joins):
+    lines = frame("k string, code string, v int", ("a", "x", 1), ("a", "y", 2), ("b", "x", 3), (None, "x", 4), ("c", None, 5))
+    jobs = frame("k string, day string, w int", ("a", "d", 6), ("a", "e", 7), ("b", "d", 8), (None, "d", 9))
+    codes = frame("code string, label string", ("x", "X"), ("x", "X2"), (None, "none"))
+    placed = join_codes(laned(lines, "k"), codes, "code", "k").join(laned(jobs, "k", otherwise=["day"]), ["k", LANE])
+    counted = placed.groupBy("k", "day", LANE).agg(F.count("*").alias("n"))
+    assert _shuffles(counted) == (0, 3)
+    plain = lines.join(codes, "code").join(jobs, "k").groupBy("k", "day").agg(F.count("*").alias("n"))
+    assert rows(counted.drop(LANE)) == rows(plain)
+    again = unlaned(counted, "k").join(in_lanes(codes).select(LANE).distinct(), F.lit(False), "left_anti")
+    assert LANE not in again.columns
+
+
+def test_unlaned_rows_are_not_dealt_twice(frame, sorted_joins):
+    table = unlaned(laned(frame("k string, v int", ("a", 1), (None, 2), (None, 3)), "k", otherwise=["v"]), "k", otherwise=["v"])
+    assert table.columns == ["k", "v"]
+    assert _shuffles(laned(table, "k", otherwise=["v"])) == (0, 1)
+    assert _shuffles(laned(table, "v")) == (0, 2)
+    assert _shuffles(grouped(table, "k", "v").count()) == (0, 1)
+    # Rows of the null key lie apart, so that a grouping by it alone deals them.
+    assert rows(grouped(table, "k").count()) == [("a", 1), (None, 2)]
+
+
+def test_rows_without_a_key_are_spread(spark):
+    jobs = spark.range(2000).selectExpr("CAST(NULL AS STRING) AS k", "id AS v")
+    assert max(_held(laned(jobs, "k", otherwise=["v"]))) < 400
+
+
+def test_allocation_reads_its_rows_once(frame, spark):
+    lines = spark.range(4).selectExpr("id % 2 AS line", "CAST(id % 2 AS INT) AS part", "0 AS total", "10 AS hours")
+    shared = allocate(lines, ["line"], "hours", "part", "total", F.lit(True))
+    assert shared._jdf.queryExecution().optimizedPlan().toString().count("Range") == 1
+    assert rows(shared, "line", "allocated") == [(0, 5.0), (0, 5.0), (1, 10.0), (1, 10.0)]
+    loose = frame("line string, part int, total int, hours int", (None, 0, 0, 10), ("a", 0, 0, 10))
+    assert rows(allocate(loose, ["line"], "hours", "part", "total", F.lit(True)), "line", "allocated") == [("a", 10.0), (None, None)]
+
+
+def test_paid_hours_and_report_shuffle_each_table_once(spark, sorted_joins):
+    """Nothing is dealt by hash, but lanes: payments, cheques, jobs and splits once each, and the hours for the report."""
+
+    def table(*columns):
+        return spark.range(40).selectExpr(*[c if " AS " in c else f"CAST(id AS STRING) AS {c}" for c in columns])
+
+    day, end = "DATE'2020-10-22' + CAST(id AS INT)", "DATE'2021-10-22' + CAST(id AS INT)"
+    perimeter = table("matr", f"{day} AS date_eff", f"{end} AS date_fin", "lieu_trav", "ref_empl", "stat_eng", "sect", "aff", "etat_empl", "8D AS hntj",
+                      "9D AS nb_hres_an", "100D AS pourc_post", "100D AS pourc_temp", "100D AS pourc_sabbatique_manquant")
+    payments = table("matr", "CAST(id AS INT) AS no_seq", "concat('10100', id) AS code_pmnt", "'3100' AS corp_empl", "lieu_trav", "'H' AS mode",
+                     "CAST(id AS DECIMAL(12,4)) AS nb_unit", "ref_empl", "no_cheq", f"{day} AS date_cheq", f"{day} AS date_deb", f"{day} AS date_fin", "'B1' AS code_prov",
+                     "CAST(id AS DECIMAL(14,2)) AS mnt", "CAST(id AS DECIMAL(14,2)) AS mnt_cour_trait_diff")
+    periods = table("gr_paie", "an_budg", "no_per", f"{day} AS date_deb", f"{end} AS date_fin", f"{day} AS date_cheq")
+    cheques = table("matr", "gr_paie", "no_cheq", f"{day} AS date_cheq", "3 AS etat_cheq", "an_budg", "no_per")
+    codes, reasons = table("code_pmnt").limit(3), table("code_pmnt_a_exonerer").limit(3)
+    params = plan_queries.PARAMS
+    splits = pay.account_splits(table("matr", f"{day} AS date_cheq", "no_cheq", "CAST(id AS INT) AS no_seq", "no_cmpt", "CAST(id AS DECIMAL(14,2)) AS mnt_dist"), params)
+    hours = pay.paid_hours_by_account(periods, cheques, payments, perimeter, codes, reasons, splits, codes, params)
+    units = table("exer_fin", "current_lieu_trav", "new_lieu_trav", "descr")
+    report = pay.full_time_report(hours, units, table("job_group", "job_group_category"), table("corp_empl", "descr"), table("stat_eng", "descr_stat_eng"))
+    assert _shuffles(splits) == (0, 1)
+    for df in (hours, report):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for key in ("matr", "no_cheq", "gr_paie", "no_cmpt", "an_budg", "corp_emploi", "stat_eng"):
+            assert f"hashpartitioning({key}" not in plan
