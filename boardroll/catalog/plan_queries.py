@@ -172,7 +172,8 @@ CHOSEN: dict[str, Callable[[Board], DataFrame]] = {
 }
 
 def _checked(name: str) -> Callable[[Board], DataFrame]:
-    return lambda board: check_table(name, board.shared(name))
+    """The table's checks; it is kept only if they read it more than once."""
+    return lambda board: check_table(name, board.shared(name) if CHECKS[name].passes > 1 else getattr(board, name))
 
 
 TABLES = [name for name, member in vars(Board).items() if isinstance(member, cached_property)]

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boardroll.operators.dealing import grouped
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with ``n_rows``; null keys are compared too."""
@@ -42,8 +44,11 @@ def _duplicated(df: DataFrame, unique: Mapping[str, Sequence[str]]) -> DataFrame
     """check_name and n_failures of each set of keys: how many of its values more than one row holds."""
     columns = list(dict.fromkeys(c for keys in unique.values() for c in keys))
     sets = list(dict.fromkeys(frozenset(keys) for keys in unique.values()))
-    grouped = df.groupingSets([[c for c in columns if c in keys] for keys in sets], *columns)
-    held = grouped.agg(F.grouping_id(*columns).alias("_set"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    if len(sets) == 1:  # so that rows that are dealt by part of the key can stay where they are
+        held = grouped(df, *columns).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").withColumn("_set", F.lit(0))
+    else:
+        by_set = df.groupingSets([[c for c in columns if c in keys] for keys in sets], *columns)
+        held = by_set.agg(F.grouping_id(*columns).alias("_set"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     # Bits of a set's number: one for every column, the first the highest, set where it is left out.
     number = {keys: sum((c not in keys) << n for n, c in enumerate(reversed(columns))) for keys in sets}
     counted = held.agg(*[F.count_if(F.col("_set") == number[keys]).alias(f"s{n}") for n, keys in enumerate(sets)])

@@ -20,6 +20,11 @@ class Checks:
     accepted: Mapping[str, Sequence[object]] = field(default_factory=dict)
     ranges: Mapping[str, tuple[float, float]] = field(default_factory=dict)
 
+    @property
+    def passes(self) -> int:
+        """How often the checks read the table."""
+        return bool(self.key or self.unique) + bool(self.not_null or self.accepted or self.ranges)
+
 
 # The checks each table and seed is declared with.
 CHECKS: dict[str, Checks] = {

@@ -182,3 +182,19 @@ def test_paid_hours_and_report_shuffle_each_table_once(spark, sorted_joins):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for key in ("matr", "no_cheq", "gr_paie", "no_cmpt", "an_budg", "corp_emploi", "stat_eng"):
             assert f"hashpartitioning({key}" not in plan
+
+
+def test_checks_of_the_report_read_it_once_and_in_place(frame, sorted_joins):
+    assert CHECKS["full_time_report"].passes == 1
+
+    class Board:
+        full_time_report = frame(", ".join(f"{c} string" for c in CHECKS["full_time_report"].key), ("x",) * 10, ("x",) * 10)
+
+        def shared(self, name):
+            raise AssertionError("kept although it is read once")
+
+    assert rows(plan_queries._checked("full_time_report")(Board())) == [("unique:key", 1)]
+    table = unlaned(laned(Board.full_time_report, "no_cmpt"), "no_cmpt")
+    checked = quality_report(table, {"key": CHECKS["full_time_report"].key})
+    assert _shuffles(checked) == (0, 1)
+    assert rows(checked) == [("unique:key", 1)]
